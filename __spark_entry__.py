@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import derived_inputs as derive
+from linkloom.functions.html import decode_entities, href_attributes, href_value
 from linkloom.functions.urls import url_id, url_text, with_url_parts
 from linkloom.operators.crawl import crawl_edges, crawl_pages, crawl_vertices
 from linkloom.operators.graph import edges, vertices
@@ -99,14 +100,13 @@ def q_corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_url_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link of every page, written in eight ways."""
     found = pages_from_table(_pages(spark, sf_dir))
-    from linkloom.functions.html import decode_entities, href_attributes, href_value
-
     hrefs = found.select(
         F.col("url").alias("source"),
         "base",
         F.explode(href_attributes(F.col("content"))).alias("attribute"),
     )
-    hrefs = hrefs.withColumn("href", decode_entities(href_value(F.col("attribute"))))
+    hrefs = hrefs.select("source", "base", href_value("attribute").alias("raw"))
+    hrefs = hrefs.selectExpr("source", "base", f"{decode_entities('raw')} AS href")
     name = F.substring("href", 2, 1 << 30)
     forms = {
         "root": F.col("href"),
@@ -214,18 +214,17 @@ def q_corpus_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl metadata of the pages: https pages with a query have failed, for instance."""
-    pages = pages_from_table(_pages(spark, sf_dir), keep=["page_id"])
-    from linkloom.functions.html import decode_entities, href_attributes, href_value
-
-    link = lambda a: F.struct(
-        F.when(F.length(a) < 14, "img").otherwise("a").alias("type"),
-        decode_entities(href_value(a)).alias("href"),
-    )
+    pages = pages_from_table(_pages(spark, sf_dir))
+    raw = F.transform(href_attributes(F.col("content")), href_value).alias("raw")
+    pages = pages.select("source_url", "content", raw)
     failed = F.rlike("source_url", F.lit(r"^https.*\?"))
     undecided = F.contains("source_url", F.lit("//m."))
     content = F.struct(
         F.lit("html-doc").alias("type"),
-        F.transform(href_attributes(F.col("content")), link).alias("links"),
+        F.expr(
+            "transform(raw, r -> named_struct('type', if(length(r) < 7, 'img', 'a'),"
+            f" 'href', {decode_entities('r')}))"
+        ).alias("links"),
     )
     document = F.struct(
         F.when(failed, "FAILURE").when(~undecided, "SUCCESS").alias("disposition"),
@@ -346,7 +345,7 @@ SELECT host || file AS url, id, success,
 FROM v"""
 _CC_EDGES = f"""WITH {_CC_PAGES},
 l AS (SELECT *, unnest({_HREFS("html")}) AS href FROM v WHERE success AND filled)
-SELECT id AS src, {_ID("host || href")} AS dst FROM l WHERE length('href=""' || href) >= 14"""
+SELECT id AS src, {_ID("host || href")} AS dst FROM l WHERE length(href) >= 7"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -58,9 +58,23 @@ _HREF_GROUP = 2
 
 # Names ending in ";" need it in the text as well; the others are the old HTML
 # entities that are also recognised without it.
-_ENTITIES = json.dumps(dict(html5), ensure_ascii=True)
-_REPLACEMENT = "\ufffd"
-_TO_END = (1 << 31) - 1
+_ENTITIES = json.dumps(dict(html5), ensure_ascii=True).replace("\\", "\\\\").replace("'", "\\'")
+_CHARACTER = """CASE
+    WHEN {0} > '00000000' AND {0} < '0000D800' OR {0} > '0000DFFF' AND {0} < '00110000'
+    THEN decode(unhex({0}), 'UTF-32') ELSE '\\ufffd' END"""
+_DECIMAL = r"lpad(hex(try_cast(regexp_extract(piece, r'\A&#0*+([0-9]{0,7}+)(?![0-9])', 1) AS BIGINT)), 8, '0')"
+_HEX = r"lpad(nullif(upper(regexp_extract(piece, r'\A&#[xX]0*+([0-9a-fA-F]{0,6}+)(?![0-9a-fA-F])', 1)), ''), 8, '0')"
+_NAME = r"regexp_extract(piece, r'\A&([a-zA-Z]++[0-9]*+(?:;|(?![0-9a-zA-Z=_-])))', 1)"
+_NAMED = f"element_at(from_json('{_ENTITIES}', 'map<string,string>'), {_NAME})"
+_DECODED_PIECE = rf"""CASE
+    WHEN startswith(piece, '&amp;') THEN '&' || substr(piece, 6)
+    WHEN piece RLIKE r'\A&#[0-9]'
+      THEN {_CHARACTER.format(_DECIMAL)} || regexp_replace(piece, r'\A&#[0-9]++;?', '')
+    WHEN piece RLIKE r'\A&#[xX][0-9a-fA-F]'
+      THEN {_CHARACTER.format(_HEX)} || regexp_replace(piece, r'\A&#[xX][0-9a-fA-F]++;?', '')
+    WHEN piece RLIKE r'\A&[a-zA-Z]'
+      THEN coalesce({_NAMED} || substr(piece, length({_NAME}) + 2), piece)
+    ELSE piece END"""
 
 
 def href_attributes(html: Column) -> Column:
@@ -72,7 +86,7 @@ def href_attributes(html: Column) -> Column:
     return F.array_remove(found, "")
 
 
-def href_value(attribute: Column) -> Column:
+def href_value(attribute: Column | str) -> Column:
     """The undecoded value of an ``href`` attribute; a bare ``href`` has the value ``""``."""
     quoted = r""""([^"]*+)"|'([^']*+)'"""
     return F.regexp_replace(
@@ -80,46 +94,11 @@ def href_value(attribute: Column) -> Column:
     )
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode character references by the rules for attribute values."""
-    pieces = F.split(text, "(?=&)")
-    decoded = F.array_join(F.transform(pieces, _decode_piece), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
-
-
-def _decode_piece(piece: Column) -> Column:
-    digits = F.regexp_extract(piece, r"\A&#0*+([0-9]*+)", 1)
-    hexits = F.upper(F.regexp_extract(piece, r"\A&#[xX]0*+([0-9a-fA-F]*+)", 1))
-    name = F.regexp_extract(piece, r"\A&([a-zA-Z]++[0-9]*+;?)", 1)
-    tail = F.substring(piece, F.length(name) + 2, F.lit(_TO_END))
-    known = F.element_at(F.from_json(F.lit(_ENTITIES), "map<string,string>"), name)
-    applies = F.endswith(name, F.lit(";")) | ~F.rlike(tail, F.lit(r"\A[0-9a-zA-Z=_-]"))
-    return (
-        F.when(
-            F.startswith(piece, F.lit("&amp;")),
-            F.concat(F.lit("&"), F.substring(piece, 6, _TO_END)),
-        )
-        .when(
-            F.rlike(piece, F.lit(r"\A&#[0-9]")),
-            F.concat(
-                _character(F.when(F.length(digits) <= 7, F.hex(digits.try_cast("bigint")))),
-                F.regexp_replace(piece, r"\A&#[0-9]++;?", ""),
-            ),
-        )
-        .when(
-            F.rlike(piece, F.lit(r"\A&#[xX][0-9a-fA-F]")),
-            F.concat(
-                _character(F.when(F.length(hexits) <= 6, hexits)),
-                F.regexp_replace(piece, r"\A&#[xX][0-9a-fA-F]++;?", ""),
-            ),
-        )
-        .when((name != "") & applies & known.isNotNull(), F.concat(known, tail))
-        .otherwise(piece)
-    )
-
+def decode_entities(text: str) -> str:
+    """SQL for the text expression ``text`` with its character references decoded.
 
-def _character(code_point_hex: Column) -> Column:
-    """The character of a code point; U+FFFD if there is no such character."""
-    code = F.lpad(code_point_hex, 8, "0")
-    valid = ((code > "00000000") & (code < "0000D800")) | ((code > "0000DFFF") & (code < "00110000"))
-    return F.when(valid, F.decode(F.unhex(code), "UTF-32")).otherwise(F.lit(_REPLACEMENT))
+    The rules are those for attribute values: an old entity without its ";" stays as it
+    is where a letter, a digit or "=" follows, as in ``?a=1&copy=2``.
+    """
+    decoded = f"array_join(transform(split({text}, '(?=&)'), piece -> {_DECODED_PIECE}), '')"
+    return f"CASE WHEN contains({text}, '&') THEN {decoded} ELSE {text} END"

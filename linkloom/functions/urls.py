@@ -5,8 +5,8 @@ info and fragment; the host is lower-cased, and port, path and query are kept.
 rules follow the lenient parsing that web archives were indexed with, so they accept
 much that a strict URI grammar rejects and differ from ``parse_url``.
 
-The work is split over a few projections.  Each computes one part of the URL once;
-written as one expression, the same parts would be evaluated many times per row.
+Each part of a URL is a named step of a projection that later steps refer to; written
+as one expression, the same parts would be evaluated many times per row.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ PARTS_TYPE = (
     "path:string,query:string>"
 )
 
-_BLANKS = "".join(chr(c) for c in range(0x21))
-_TO_END = (1 << 31) - 1
+_BLANKS = "'" + "".join(f"\\u{code:04x}" for code in range(0x21)) + "'"
 # Letters and digits outside the basic plane never make a protocol name.
 _BASIC = r"&&[\x{0}-\x{FFFF}]"
 _PROTOCOL = rf"\A([\p{{L}}{_BASIC}][[\p{{L}}\p{{Nd}}+.-]{_BASIC}]*+):"
@@ -40,7 +39,7 @@ _IPV6 = (
 
 def url_id(url: Column) -> Column:
     """A short stable id: the first 72 bits of the SHA-1 of the UTF-8 text, in Base64."""
-    return F.substring(F.base64(F.unhex(F.sha1(url.cast("binary")))), 1, 12)
+    return F.left(F.base64(F.unhex(F.sha1(url.cast("binary")))), F.lit(12))
 
 
 def url_text(parts: Column) -> Column:
@@ -53,194 +52,156 @@ def url_text(parts: Column) -> Column:
     )
 
 
+# Each level refers to the levels before it.  The first ones differ for absolute URLs
+# and for links.
+_TEXT = (
+    # Blanks around the URL and a leading "url:" are ignored.
+    (rf"regexp_replace(btrim({{spec}}, {_BLANKS}), r'(?i)\Aurl:', '') AS u_text",),
+    (f"nullif(lower(regexp_extract(u_text, r'{_PROTOCOL}', 1)), '') AS u_named",),
+)
+_REST = "substring_index(substr(u_text, coalesce(length(u_named) + 2, 1)), '#', 1) AS u_rest"
+_NO_BASE = (
+    (
+        "false AS u_relative",
+        "u_named AS u_protocol",
+        f"CAST(NULL AS {PARTS_TYPE}) AS u_base",
+        _REST,
+    ),
+)
+# Does the page's own URL apply, and what is inherited from it?
+_BASE = (
+    (
+        "{base} IS NOT NULL AND (u_named IS NULL OR (u_named = {base}.protocol"
+        " AND startswith({base}.path, '/'))) AS u_relative",
+        _REST,
+    ),
+    (
+        "CASE WHEN u_relative THEN {base}.protocol ELSE u_named END AS u_protocol",
+        "CASE WHEN u_relative THEN {base} END AS u_base",
+    ),
+)
+_LEVELS = (
+    ("substring_index(u_rest, '?', 1) AS u_body",),
+    (
+        "CASE WHEN contains(u_rest, '?') THEN substr(u_rest, length(u_body) + 2) END AS u_query",
+        "CASE WHEN startswith(u_body, '//') AND NOT startswith(u_body, '////')"
+        " THEN substring_index(substr(u_body, 3), '/', 1) END AS u_authority",
+    ),
+    (
+        "u_authority IS NOT NULL OR coalesce(u_base.has_authority, false) AS u_has_authority",
+        "CASE WHEN u_authority IS NULL THEN u_body"
+        " ELSE substr(u_body, length(u_authority) + 3) END AS u_tail",
+        # With more than one "@" an authority names no host.
+        "CASE WHEN length(u_authority) - length(replace(u_authority, '@')) <= 1"
+        " THEN substring_index(u_authority, '@', -1) END AS u_server",
+        "CASE WHEN coalesce(u_authority, '') = '' THEN coalesce(u_base.path, '') ELSE '' END"
+        " AS u_base_path",
+    ),
+    (
+        r"CASE WHEN startswith(u_server, '[')"
+        r" THEN regexp_extract(u_server, r'\A(\[[^\]]{2,}\])(?=:|\z)', 1)"
+        r" ELSE substring_index(u_server, ':', 1) END AS u_host",
+        "CASE WHEN u_tail <> '' AND NOT startswith(u_tail, '/') AND u_base_path <> ''"
+        r" THEN regexp_extract(u_base_path, r'(?s)\A(.*/)', 1) END AS u_folder",
+    ),
+    (
+        "substr(u_server, length(u_host) + 2) AS u_port_text",
+        "CASE WHEN u_folder = '' AND u_has_authority THEN '/' || u_tail"
+        " ELSE u_folder || u_tail END AS u_merged",
+    ),
+    (
+        r"CASE WHEN u_port_text RLIKE r'\A[+-]?[0-9]++\z'"
+        " THEN try_cast(u_port_text AS INT) END AS u_port",
+    ),
+    (
+        "coalesce(u_protocol NOT IN ({protocols}), true)"
+        " OR (coalesce(u_port_text, '') <> '' AND coalesce(u_port < -1, true))"
+        " OR coalesce(startswith(u_server, '[')"
+        rf" AND NOT u_host RLIKE r'\A\[(?:{_IPV6})(?:%[^\]]+)?\]\z', false)"
+        " AS u_malformed",
+    ),
+)
+_RESOLVED_PATH = r"""CASE
+    WHEN startswith(u_tail, '/') THEN u_tail
+    WHEN u_merged IS NOT NULL THEN {collapsed}
+    WHEN u_tail <> '' THEN if(u_has_authority, '/', '') || u_tail
+    WHEN u_body = '' AND u_query IS NOT NULL AND u_relative
+      THEN regexp_extract(u_base_path, r'(?s)\A(.*)/', 1) || '/'
+    ELSE u_base_path END"""
+_PARTS = """CASE
+  WHEN u_protocol = 'mailto' THEN
+    CASE WHEN NOT u_rest RLIKE r'\\A\\s*+\\z' THEN named_struct(
+      'protocol', u_protocol, 'has_authority', false, 'host', '', 'port', CAST(NULL AS STRING),
+      'path', u_rest, 'query', CAST(NULL AS STRING)) END
+  WHEN NOT u_malformed THEN named_struct(
+    'protocol', u_protocol,
+    'has_authority', u_has_authority,
+    'host', CASE WHEN u_server IS NOT NULL THEN lower(u_host)
+      WHEN u_authority IS NOT NULL THEN '' ELSE coalesce(u_base.host, '') END,
+    'port', CASE WHEN u_server IS NULL THEN u_base.port
+      WHEN u_port >= 0 THEN CAST(u_port AS STRING) END,
+    'path', {path},
+    'query', CASE WHEN u_rest = '' AND u_relative THEN u_base.query ELSE u_query END)
+  END"""
+
+# The "." and ".." segments of a path that was merged from a base and a link.  ".."
+# removes a segment, but neither the first one nor a ".." that is second.
+_WALKED = """concat_ws('/',
+  aggregate(
+    slice(u_segments, 2, greatest(size(u_segments) - 2, 0)),
+    slice(u_segments, 1, 1),
+    (done, segment) -> CASE
+      WHEN segment = '.' THEN done
+      WHEN segment = '..' AND size(done) > 1
+          AND NOT (size(done) = 2 AND done[0] = '' AND done[1] = '..')
+        THEN slice(done, 1, size(done) - 1)
+      ELSE array_append(done, segment) END),
+  array(element_at(u_segments, -1)))"""
+# A final ".." is taken from the first "/..", which need not be the last one.
+_DOT_LEVELS = (
+    (
+        "CASE WHEN contains(u_merged, '/.') OR startswith(u_merged, './')"
+        " THEN split(u_merged, '/') END AS u_segments",
+    ),
+    (f"CASE WHEN size(u_segments) > 1 THEN {_WALKED} ELSE u_merged END AS u_walked",),
+    (
+        "CASE WHEN endswith(u_walked, '/..')"
+        r" THEN nullif(regexp_extract(left(u_walked, instr(u_walked, '/..') - 1),"
+        r" r'(?s)\A(.*/)', 1), '') END AS u_cut",
+    ),
+)
+_COLLAPSED = (
+    "CASE WHEN u_segments IS NULL THEN u_merged ELSE"
+    r" regexp_replace(coalesce(u_cut, u_walked), r'(?s)\A\./(?=.)|(?<=/)\.\z', '') END"
+)
+
+
 def with_url_parts(df: DataFrame, spec: str, out: str, base: str | None = None) -> DataFrame:
     """Add column ``out`` (``PARTS_TYPE``): ``spec`` resolved against ``base``.
 
     ``base`` names a column that an earlier call made for the page; without it only
     absolute URLs are well-formed.  Malformed URLs give NULL.
     """
-    t = _Names(out)
     kept = df.columns
-
-    # 1. Trim; a leading "url:" is ignored.
-    trimmed = F.btrim(F.col(spec), F.lit(_BLANKS))
-    df = df.withColumn(t.text, F.regexp_replace(trimmed, r"(?i)\Aurl:", ""))
-
-    # 2. Protocol, and whether the page's own URL applies.
-    named = F.nullif(F.lower(F.regexp_extract(t.text, _PROTOCOL, 1)), F.lit(""))
-    df = df.withColumn(t.named, named)
     if base is None:
-        relative = F.lit(False)
-        protocol = F.col(t.named)
-        inherited = F.lit(None).cast(PARTS_TYPE)
+        levels = (*_TEXT, *_NO_BASE, *_LEVELS)
+        collapsed = "u_merged"
     else:
-        context = F.col(base)
-        relative = context.isNotNull() & (
-            F.col(t.named).isNull()
-            | ((F.col(t.named) == context["protocol"]) & F.startswith(context["path"], F.lit("/")))
-        )
-        protocol = F.when(F.col(t.relative), context["protocol"]).otherwise(F.col(t.named))
-        inherited = F.when(F.col(t.relative), context)
-    rest = F.substring(F.col(t.text), F.coalesce(F.length(t.named) + 2, F.lit(1)), F.lit(_TO_END))
-    df = df.withColumn(t.relative, relative)
-    df = df.withColumns(
-        {t.protocol: protocol, t.rest: F.substring_index(rest, "#", 1), t.inherited: inherited}
-    )
-
-    # 3. Query, authority and what is left as the path.
-    body = F.substring_index(F.col(t.rest), "?", 1)
-    query = F.when(
-        F.contains(F.col(t.rest), F.lit("?")),
-        F.substring(F.col(t.rest), F.length(t.body) + 2, F.lit(_TO_END)),
-    )
-    df = df.withColumn(t.body, body).withColumn(t.query, query)
-    has_authority = F.startswith(F.col(t.body), F.lit("//")) & ~F.startswith(
-        F.col(t.body), F.lit("////")
-    )
-    authority = F.when(
-        has_authority,
-        F.substring_index(F.substring(F.col(t.body), F.lit(3), F.lit(_TO_END)), "/", 1),
-    )
-    df = df.withColumn(t.authority, authority)
-    at_signs = F.length(t.authority) - F.length(F.replace(F.col(t.authority), F.lit("@")))
-    host_port = F.when(
-        at_signs <= 1, F.substring_index(F.col(t.authority), "@", -1)
-    )
-    path_spec = F.when(F.col(t.authority).isNull(), F.col(t.body)).otherwise(
-        F.substring(F.col(t.body), F.length(t.authority) + 3, F.lit(_TO_END))
-    )
-    df = df.withColumns({t.host_port: host_port, t.path_spec: path_spec})
-
-    # 4. Host and port.
-    bracketed = F.startswith(F.col(t.host_port), F.lit("["))
-    host = F.when(
-        bracketed, F.regexp_extract(t.host_port, r"\A(\[[^\]]{2,}\])(?=:|\z)", 1)
-    ).otherwise(F.substring_index(F.col(t.host_port), ":", 1))
-    df = df.withColumn(t.host, host)
-    port_text = F.substring(F.col(t.host_port), F.length(t.host) + 2, F.lit(_TO_END))
-    df = df.withColumn(t.port_text, port_text)
-    port_number = F.when(
-        F.rlike(F.col(t.port_text), F.lit(r"\A[+-]?[0-9]++\z")),
-        F.col(t.port_text).try_cast("int"),
-    )
-    df = df.withColumn(t.port, port_number)
-    inherits_port = F.col(t.host_port).isNull()
-    port = F.when(inherits_port, F.col(t.inherited)["port"]).when(
-        F.col(t.port) >= 0, F.col(t.port).cast("string")
-    )
-    bad_port = (F.col(t.port_text) != "") & F.coalesce(F.col(t.port) < -1, F.lit(True))
-    bad_host = bracketed & ~F.rlike(F.col(t.host), F.lit(rf"\A\[(?:{_IPV6})(?:%[^\]]+)?\]\z"))
-    new_host = F.when(F.col(t.host_port).isNotNull(), F.lower(t.host)).when(
-        F.col(t.authority).isNotNull(), F.lit("")
-    )
-
-    # 5. Path.
-    base_path = F.when(
-        F.coalesce(F.col(t.authority), F.lit("")) == "",
-        F.coalesce(F.col(t.inherited)["path"], F.lit("")),
-    ).otherwise(F.lit(""))
-    any_authority = F.col(t.authority).isNotNull() | F.coalesce(
-        F.col(t.inherited)["has_authority"], F.lit(False)
-    )
-    df = df.withColumns(
-        {
-            t.malformed: F.coalesce(~F.col(t.protocol).isin(*PROTOCOLS), F.lit(True))
-            | F.coalesce(bad_port, F.lit(False))
-            | F.coalesce(bad_host, F.lit(False)),
-            t.new_host: F.coalesce(new_host, F.col(t.inherited)["host"], F.lit("")),
-            t.new_port: port,
-            t.base_path: base_path,
-            t.any_authority: any_authority,
-        }
-    )
-    path_spec, base_path = F.col(t.path_spec), F.col(t.base_path)
-    folder = F.regexp_extract(base_path, r"(?s)\A(.*/)", 1)
-    merges = (
-        (path_spec != "") & ~F.startswith(path_spec, F.lit("/")) & (base_path != "")
-    )
-    df = df.withColumn(t.folder, F.when(merges, folder))
-    slash = F.when((F.col(t.folder) == "") & F.col(t.any_authority), F.lit("/"))
-    df = df.withColumn(
-        t.merged, F.concat(F.coalesce(slash, F.col(t.folder)), path_spec)
-    )
-    query_only = (F.col(t.body) == "") & F.col(t.query).isNotNull()
-    path = (
-        F.when(F.startswith(path_spec, F.lit("/")), path_spec)
-        .when(F.col(t.merged).isNotNull(), _collapse_dots(F.col(t.merged)))
-        .when((path_spec != "") & F.col(t.any_authority), F.concat(F.lit("/"), path_spec))
-        .when(path_spec != "", path_spec)
-        .when(
-            query_only & F.col(t.relative),
-            F.concat(F.regexp_extract(base_path, r"(?s)\A(.*)/", 1), F.lit("/")),
-        )
-        .otherwise(base_path)
-    )
-    query = F.when(
-        (F.col(t.rest) == "") & F.col(t.relative), F.col(t.inherited)["query"]
-    ).otherwise(F.col(t.query))
-    generic = F.struct(
-        F.col(t.protocol).alias("protocol"),
-        F.col(t.any_authority).alias("has_authority"),
-        F.col(t.new_host).alias("host"),
-        F.col(t.new_port).alias("port"),
-        path.alias("path"),
-        query.alias("query"),
-    )
-    mail = F.struct(
-        F.col(t.protocol).alias("protocol"),
-        F.lit(False).alias("has_authority"),
-        F.lit("").alias("host"),
-        F.lit(None).cast("string").alias("port"),
-        F.col(t.rest).alias("path"),
-        F.lit(None).cast("string").alias("query"),
-    )
-    is_mail = F.col(t.protocol) == "mailto"
-    blank = F.rlike(F.col(t.rest), F.lit(r"\A\s*+\z"))
-    parts = F.when(is_mail, F.when(~blank, mail)).when(~F.col(t.malformed), generic)
-    return with_computed_once(df, out, parts).select(*kept, out)
-
-
-def _collapse_dots(path: Column) -> Column:
-    """Resolve the ``.`` and ``..`` segments of a path merged from a base and a link."""
-    dotted = F.contains(path, F.lit("/.")) | F.startswith(path, F.lit("./"))
-    return F.when(dotted, _without_dots(path)).otherwise(path)
-
-
-def _without_dots(path: Column) -> Column:
-    segments = F.split(path, "/")
-    last = F.element_at(segments, -1)
-    leading = F.slice(segments, 1, 1)
-    middle = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 2, F.lit(0)))
-
-    def step(done: Column, segment: Column) -> Column:
-        # ".." removes a segment, but neither the first one nor a ".." that is second.
-        stuck = (F.size(done) == 1) | (
-            (F.size(done) == 2)
-            & (F.element_at(done, 1) == "")
-            & (F.element_at(done, -1) == "..")
-        )
-        return (
-            F.when(segment == ".", done)
-            .when((segment == "..") & ~stuck, F.slice(done, F.lit(1), F.size(done) - 1))
-            .otherwise(F.array_append(done, segment))
-        )
-
-    walked = F.aggregate(middle, leading, step)
-    merged = F.when(
-        F.size(segments) > 1, F.concat_ws("/", walked, F.array(last))
-    ).otherwise(path)
-    # A final ".." is taken from the first "/..", which need not be the last one.
-    head = F.left(merged, F.instr(merged, "/..") - 1)
-    cut = F.regexp_extract(head, r"(?s)\A(.*/)", 1)
-    merged = F.when(F.endswith(merged, F.lit("/..")) & (cut != ""), cut).otherwise(merged)
-    return F.regexp_replace(merged, r"(?s)\A\./(?=.)|(?<=/)\.\z", "")
-
-
-class _Names:
-    """Names of working columns that cannot clash with the caller's."""
-
-    def __init__(self, prefix: str) -> None:
-        self._prefix = prefix
-
-    def __getattr__(self, name: str) -> str:
-        return f"__{self._prefix}_{name}"
+        levels = (*_TEXT, *_BASE, *_LEVELS, *_DOT_LEVELS)
+        collapsed = _COLLAPSED
+    names = {
+        "{base}": f"`{base}`",
+        "{spec}": f"`{spec}`",
+        "{protocols}": ", ".join(f"'{name}'" for name in PROTOCOLS),
+        "{path}": _RESOLVED_PATH,
+        "{collapsed}": collapsed,
+    }
+
+    def filled(template: str) -> str:
+        for name, value in names.items():
+            template = template.replace(name, value)
+        return template
+
+    for level in levels:
+        df = df.selectExpr("*", *map(filled, level))
+    return with_computed_once(df, out, F.expr(filled(_PARTS))).select(*kept, out)

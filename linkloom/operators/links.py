@@ -28,8 +28,8 @@ def links(pages: DataFrame) -> DataFrame:
             "position", "attribute"
         ),
     )
-    found = found.withColumn("raw", href_value(F.col("attribute")))
-    found = found.withColumn("href", decode_entities(F.col("raw")))
+    found = found.select("src", "base", "position", href_value("attribute").alias("raw"))
+    found = found.selectExpr("*", f"{decode_entities('raw')} AS href")
     found = with_url_parts(found, "href", "parts", base="base")
     found = found.withColumn("url", url_text(F.col("parts")))
     return found.select(

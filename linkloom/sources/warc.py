@@ -8,12 +8,14 @@ bounded size, so memory does not depend on the size of a file.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
 from gzip import BadGzipFile, GzipFile
 from io import BufferedReader
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 RECORD_SCHEMA = (
@@ -54,6 +56,10 @@ _MAX_HEADER_BYTES = 64 << 20
 _MAX_CONTENT_BYTES = (1 << 31) - 1
 
 
+# Tasks get this module with the job, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class _FramingError(Exception):
     """The rest of the file cannot be divided into records."""
 
