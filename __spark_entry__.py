@@ -25,7 +25,6 @@ from linkloom.operators.headers import warc_body, warc_headers
 from linkloom.operators.inventory import corpus_inventory, scan_totals
 from linkloom.operators.links import corpus_totals, link_outcomes, links
 from linkloom.operators.pages import (
-    MAX_PAGE_BYTES,
     page_outcomes,
     pages_from_table,
     pages_from_warc,
@@ -94,7 +93,7 @@ def q_page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_totals(pages_from_table(_with_bad_pages(_pages(spark, sf_dir))))
+    return corpus_totals(_with_bad_pages(_pages(spark, sf_dir)))
 
 
 def q_url_identity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ from linkloom.operators.pages import OK, READ_ERROR, pages_from_warc
 def corpus_inventory(spark: SparkSession, paths: str | list[str], records: DataFrame) -> DataFrame:
     """One row per file that matches ``paths``, with what ``records`` holds of it.
 
-    Files without a single record are listed with zeros.  The join has one row per file
+    Files without a single record are listed with zeros; files of no bytes are not
+    listed, as Spark's file sources pass over them.  The join has one row per file
     on either side, so its size does not follow the records.
     """
     files = spark.read.format("binaryFile").load(paths)

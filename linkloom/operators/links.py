@@ -52,11 +52,14 @@ def link_outcomes(links: DataFrame) -> DataFrame:
     )
 
 
-def corpus_totals(pages: DataFrame) -> DataFrame:
-    """Records with a target address and the links in them, whatever their size or URL."""
-    targeted = pages.where(F.col("source_url").isNotNull())
-    n_links = F.size(href_attributes(F.col("content").cast("string")))
+def corpus_totals(df: DataFrame, target: str = "url", content: str = "html") -> DataFrame:
+    """Records with a target address and the links in them, whatever their size or URL.
+
+    ``target`` and ``content`` are SQL expressions over a table or over WARC records.
+    """
+    targeted = df.where(F.expr(target).isNotNull())
+    n_links = F.size(href_attributes(F.expr(content).cast("string")))
     return targeted.agg(
         F.count("*").alias("records"),
-        F.coalesce(F.sum(F.when(F.col("content").isNotNull(), n_links)), F.lit(0)).alias("links"),
+        F.coalesce(F.sum(F.greatest(n_links, F.lit(0))), F.lit(0)).alias("links"),
     )
