@@ -145,33 +145,29 @@ _PARTS = """CASE
   END"""
 
 # The "." and ".." segments of a path that was merged from a base and a link.  ".."
-# removes a segment, but neither the first one nor a ".." that is second.
-_WALKED = """concat_ws('/',
-  aggregate(
-    slice(u_segments, 2, greatest(size(u_segments) - 2, 0)),
-    slice(u_segments, 1, 1),
-    (done, segment) -> CASE
-      WHEN segment = '.' THEN done
-      WHEN segment = '..' AND size(done) > 1
-          AND NOT (size(done) = 2 AND done[0] = '' AND done[1] = '..')
-        THEN slice(done, 1, size(done) - 1)
-      ELSE array_append(done, segment) END),
-  array(element_at(u_segments, -1)))"""
-# A final ".." is taken from the first "/..", which need not be the last one.
+# removes the segment before it, but neither the first one nor a ".." that came first.
+# The fold runs over the ".." segments alone, so other segments cost nothing.
 _DOT_LEVELS = (
     (
         "CASE WHEN contains(u_merged, '/.') OR startswith(u_merged, './')"
-        " THEN split(u_merged, '/') END AS u_segments",
+        r" THEN split(regexp_replace(u_merged, r'(?:/\.(?=/))++', ''), r'/\.\.(?=/)')"
+        " END AS u_pieces",
     ),
-    (f"CASE WHEN size(u_segments) > 1 THEN {_WALKED} ELSE u_merged END AS u_walked",),
     (
+        """aggregate(slice(u_pieces, 2, size(u_pieces)), u_pieces[0], (done, piece) -> CASE
+          WHEN contains(done, '/') AND done <> '/..'
+            THEN left(done, length(done) - length(substring_index(done, '/', -1)) - 1) || piece
+          ELSE done || '/..' || piece END) AS u_walked""",
+    ),
+    (
+        # A final ".." is taken from the first "/..", which need not be the last one.
         "CASE WHEN endswith(u_walked, '/..')"
         r" THEN nullif(regexp_extract(left(u_walked, instr(u_walked, '/..') - 1),"
         r" r'(?s)\A(.*/)', 1), '') END AS u_cut",
     ),
 )
 _COLLAPSED = (
-    "CASE WHEN u_segments IS NULL THEN u_merged ELSE"
+    "CASE WHEN u_pieces IS NULL THEN u_merged ELSE"
     r" regexp_replace(coalesce(u_cut, u_walked), r'(?s)\A\./(?=.)|(?<=/)\.\z', '') END"
 )
 

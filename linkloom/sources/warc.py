@@ -12,7 +12,7 @@ import sys
 import zlib
 from collections.abc import Iterator
 from gzip import BadGzipFile, GzipFile
-from io import BufferedReader
+from io import BufferedReader, RawIOBase
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -47,8 +47,10 @@ _COLUMN_OF_HEADER = {
     "Content-Type": "content_type",
 }
 _LENGTH_HEADER = "Content-Length"
+_LENGTH_PREFIX = _LENGTH_HEADER.lower()
 
-_BLANKS = "".join(chr(c) for c in range(0x21))
+_BLANKS = "".join(map(chr, range(0x21)))
+_BLANK_BYTES = bytes(range(0x21))
 _CHUNK = 1 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_RECORDS = 10_000
@@ -117,7 +119,22 @@ def _read_file(path: str, limit: int | None) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
 
 
-def _open(path: str) -> BufferedReader | GzipFile:
+class _Unpacked(RawIOBase):
+    """Hands over what is unpacked so far before it goes on, so damage ahead loses nothing."""
+
+    def __init__(self, packed: GzipFile) -> None:
+        self._packed = packed
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self._packed.read1(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+
+def _open(path: str) -> BufferedReader:
     # Imported here: only tasks open files.
     from pyarrow import fs
 
@@ -128,7 +145,8 @@ def _open(path: str) -> BufferedReader | GzipFile:
         path = "s3:" + rest
     filesystem, name = fs.FileSystem.from_uri(path)
     raw = filesystem.open_input_stream(name, compression=None, buffer_size=_CHUNK)
-    return GzipFile(fileobj=raw, mode="rb") if name.endswith(".gz") else BufferedReader(raw)
+    unpacked = _Unpacked(GzipFile(fileobj=raw)) if name.endswith(".gz") else raw
+    return BufferedReader(unpacked, _CHUNK)
 
 
 def _records(stream, limit: int | None) -> Iterator[dict]:
@@ -163,26 +181,16 @@ def _header(stream) -> tuple[dict, int]:
     row: dict = {}
     metadata: dict[str, str] = {}
     length = None
-    size = 0
-    while True:
-        line = stream.readline(_MAX_HEADER_BYTES)
-        size += len(line)
-        if not line.endswith(b"\n"):
-            raise _FramingError("the file ends inside a header")
-        if size > _MAX_HEADER_BYTES:
-            raise _FramingError("a header does not end")
-        text = line.decode("utf-8", "replace")
-        if not text.strip(_BLANKS):
-            break
-        name, colon, value = text.partition(":")
-        if colon and length is None and name.lower().startswith(_LENGTH_HEADER.lower()):
+    for line in _header_lines(stream):
+        name, colon, value = line.partition(":")
+        if length is None and colon and name.lower().startswith(_LENGTH_PREFIX):
             length = value.strip(_BLANKS)
-        name, value = name.strip(_BLANKS), value.strip(_BLANKS)
+        name = name.strip(_BLANKS)
         if name in _COLUMN_OF_HEADER:
             if colon:
-                row[_COLUMN_OF_HEADER[name]] = value
+                row[_COLUMN_OF_HEADER[name]] = value.strip(_BLANKS)
         elif name != _LENGTH_HEADER:
-            metadata[name] = value
+            metadata[name] = value.strip(_BLANKS)
     row["metadata"] = list(metadata.items())
     digits = (length or "").removeprefix("+")
     if not (digits.isascii() and digits.isdigit()) or int(digits) > _MAX_CONTENT_BYTES:
@@ -190,6 +198,20 @@ def _header(stream) -> tuple[dict, int]:
     return row, int(digits)
 
 
+def _header_lines(stream) -> list[str]:
+    """The lines up to the blank one, which is read as well."""
+    lines = []
+    size = 0
+    while (line := stream.readline(_MAX_HEADER_BYTES)).strip(_BLANK_BYTES):
+        size += len(line)
+        if size > _MAX_HEADER_BYTES:
+            raise _FramingError("a header does not end")
+        lines.append(line)
+    if not line.endswith(b"\n"):
+        raise _FramingError("the file ends inside a header")
+    return b"".join(lines).decode("utf-8", "replace").split("\n")[:-1]
+
+
 def _skip(stream, length: int) -> int:
     left = length
     while left and (chunk := stream.read(min(left, _CHUNK))):

@@ -43,7 +43,7 @@ def test_fields_of_a_record(read):
         "WARC-Date: 2012-02-10T21:51:20Z",
         "WARC-Record-ID: <urn:uuid:1>",
         "Content-Type: application/http",
-        "WARC-TREC-ID:  clue-1 ",
+        "WARC-TREC-ID:  doc-1 ",
         "NoColon",
         "Twice: 1",
         "Twice: 2: b",
@@ -56,7 +56,7 @@ def test_fields_of_a_record(read):
     assert (row.content_length, bytes(row.content), row.read_error) == (3, b"abc", None)
     assert row.metadata == {
         "WARC-Target-URI": "http://h/x",
-        "WARC-TREC-ID": "clue-1",
+        "WARC-TREC-ID": "doc-1",
         "NoColon": "",
         "Twice": "2: b",
         "warc-type": "lower",
