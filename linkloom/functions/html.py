@@ -62,8 +62,11 @@ _ENTITIES = json.dumps(dict(html5), ensure_ascii=True).replace("\\", "\\\\").rep
 _CHARACTER = """CASE
     WHEN {0} > '00000000' AND {0} < '0000D800' OR {0} > '0000DFFF' AND {0} < '00110000'
     THEN decode(unhex({0}), 'UTF-32') ELSE '\\ufffd' END"""
-_DECIMAL = r"lpad(hex(try_cast(regexp_extract(piece, r'\A&#0*+([0-9]{0,7}+)(?![0-9])', 1) AS BIGINT)), 8, '0')"
-_HEX = r"lpad(nullif(upper(regexp_extract(piece, r'\A&#[xX]0*+([0-9a-fA-F]{0,6}+)(?![0-9a-fA-F])', 1)), ''), 8, '0')"
+# The code point as eight hexadecimal digits; NULL if it has too many digits to exist.
+_DIGITS = r"regexp_extract(piece, r'\A&#0*+([0-9]{0,7}+)(?![0-9])', 1)"
+_DECIMAL = f"lpad(hex(try_cast({_DIGITS} AS BIGINT)), 8, '0')"
+_HEX_DIGITS = r"regexp_extract(piece, r'\A&#[xX]0*+([0-9a-fA-F]{0,6}+)(?![0-9a-fA-F])', 1)"
+_HEX = f"lpad(nullif(upper({_HEX_DIGITS}), ''), 8, '0')"
 _NAME = r"regexp_extract(piece, r'\A&([a-zA-Z]++[0-9]*+(?:;|(?![0-9a-zA-Z=_-])))', 1)"
 _NAMED = f"element_at(from_json('{_ENTITIES}', 'map<string,string>'), {_NAME})"
 _DECODED_PIECE = rf"""CASE

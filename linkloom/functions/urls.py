@@ -56,92 +56,92 @@ def url_text(parts: Column) -> Column:
 # and for links.
 _TEXT = (
     # Blanks around the URL and a leading "url:" are ignored.
-    (rf"regexp_replace(btrim({{spec}}, {_BLANKS}), r'(?i)\Aurl:', '') AS u_text",),
-    (f"nullif(lower(regexp_extract(u_text, r'{_PROTOCOL}', 1)), '') AS u_named",),
+    (rf"regexp_replace(btrim({{spec}}, {_BLANKS}), r'(?i)\Aurl:', '') AS __u_text",),
+    (f"nullif(lower(regexp_extract(__u_text, r'{_PROTOCOL}', 1)), '') AS __u_named",),
 )
-_REST = "substring_index(substr(u_text, coalesce(length(u_named) + 2, 1)), '#', 1) AS u_rest"
+_REST = "substring_index(substr(__u_text, coalesce(length(__u_named) + 2, 1)), '#', 1) AS __u_rest"
 _NO_BASE = (
     (
-        "false AS u_relative",
-        "u_named AS u_protocol",
-        f"CAST(NULL AS {PARTS_TYPE}) AS u_base",
+        "false AS __u_relative",
+        "__u_named AS __u_protocol",
+        f"CAST(NULL AS {PARTS_TYPE}) AS __u_base",
         _REST,
     ),
 )
 # Does the page's own URL apply, and what is inherited from it?
 _BASE = (
     (
-        "{base} IS NOT NULL AND (u_named IS NULL OR (u_named = {base}.protocol"
-        " AND startswith({base}.path, '/'))) AS u_relative",
+        "{base} IS NOT NULL AND (__u_named IS NULL OR (__u_named = {base}.protocol"
+        " AND startswith({base}.path, '/'))) AS __u_relative",
         _REST,
     ),
     (
-        "CASE WHEN u_relative THEN {base}.protocol ELSE u_named END AS u_protocol",
-        "CASE WHEN u_relative THEN {base} END AS u_base",
+        "CASE WHEN __u_relative THEN {base}.protocol ELSE __u_named END AS __u_protocol",
+        "CASE WHEN __u_relative THEN {base} END AS __u_base",
     ),
 )
 _LEVELS = (
-    ("substring_index(u_rest, '?', 1) AS u_body",),
+    ("substring_index(__u_rest, '?', 1) AS __u_body",),
     (
-        "CASE WHEN contains(u_rest, '?') THEN substr(u_rest, length(u_body) + 2) END AS u_query",
-        "CASE WHEN startswith(u_body, '//') AND NOT startswith(u_body, '////')"
-        " THEN substring_index(substr(u_body, 3), '/', 1) END AS u_authority",
+        "CASE WHEN contains(__u_rest, '?') THEN substr(__u_rest, length(__u_body) + 2) END AS __u_query",
+        "CASE WHEN startswith(__u_body, '//') AND NOT startswith(__u_body, '////')"
+        " THEN substring_index(substr(__u_body, 3), '/', 1) END AS __u_authority",
     ),
     (
-        "u_authority IS NOT NULL OR coalesce(u_base.has_authority, false) AS u_has_authority",
-        "CASE WHEN u_authority IS NULL THEN u_body"
-        " ELSE substr(u_body, length(u_authority) + 3) END AS u_tail",
+        "__u_authority IS NOT NULL OR coalesce(__u_base.has_authority, false) AS __u_has_authority",
+        "CASE WHEN __u_authority IS NULL THEN __u_body"
+        " ELSE substr(__u_body, length(__u_authority) + 3) END AS __u_tail",
         # With more than one "@" an authority names no host.
-        "CASE WHEN length(u_authority) - length(replace(u_authority, '@')) <= 1"
-        " THEN substring_index(u_authority, '@', -1) END AS u_server",
-        "CASE WHEN coalesce(u_authority, '') = '' THEN coalesce(u_base.path, '') ELSE '' END"
-        " AS u_base_path",
+        "CASE WHEN length(__u_authority) - length(replace(__u_authority, '@')) <= 1"
+        " THEN substring_index(__u_authority, '@', -1) END AS __u_server",
+        "CASE WHEN coalesce(__u_authority, '') = '' THEN coalesce(__u_base.path, '') ELSE '' END"
+        " AS __u_base_path",
     ),
     (
-        r"CASE WHEN startswith(u_server, '[')"
-        r" THEN regexp_extract(u_server, r'\A(\[[^\]]{2,}\])(?=:|\z)', 1)"
-        r" ELSE substring_index(u_server, ':', 1) END AS u_host",
-        "CASE WHEN u_tail <> '' AND NOT startswith(u_tail, '/') AND u_base_path <> ''"
-        r" THEN regexp_extract(u_base_path, r'(?s)\A(.*/)', 1) END AS u_folder",
+        r"CASE WHEN startswith(__u_server, '[')"
+        r" THEN regexp_extract(__u_server, r'\A(\[[^\]]{2,}\])(?=:|\z)', 1)"
+        r" ELSE substring_index(__u_server, ':', 1) END AS __u_host",
+        "CASE WHEN __u_tail <> '' AND NOT startswith(__u_tail, '/') AND __u_base_path <> ''"
+        r" THEN regexp_extract(__u_base_path, r'(?s)\A(.*/)', 1) END AS __u_folder",
     ),
     (
-        "substr(u_server, length(u_host) + 2) AS u_port_text",
-        "CASE WHEN u_folder = '' AND u_has_authority THEN '/' || u_tail"
-        " ELSE u_folder || u_tail END AS u_merged",
+        "substr(__u_server, length(__u_host) + 2) AS __u_port_text",
+        "CASE WHEN __u_folder = '' AND __u_has_authority THEN '/' || __u_tail"
+        " ELSE __u_folder || __u_tail END AS __u_merged",
     ),
     (
-        r"CASE WHEN u_port_text RLIKE r'\A[+-]?[0-9]++\z'"
-        " THEN try_cast(u_port_text AS INT) END AS u_port",
+        r"CASE WHEN __u_port_text RLIKE r'\A[+-]?[0-9]++\z'"
+        " THEN try_cast(__u_port_text AS INT) END AS __u_port",
     ),
     (
-        "coalesce(u_protocol NOT IN ({protocols}), true)"
-        " OR (coalesce(u_port_text, '') <> '' AND coalesce(u_port < -1, true))"
-        " OR coalesce(startswith(u_server, '[')"
-        rf" AND NOT u_host RLIKE r'\A\[(?:{_IPV6})(?:%[^\]]+)?\]\z', false)"
-        " AS u_malformed",
+        "coalesce(__u_protocol NOT IN ({protocols}), true)"
+        " OR (coalesce(__u_port_text, '') <> '' AND coalesce(__u_port < -1, true))"
+        " OR coalesce(startswith(__u_server, '[')"
+        rf" AND NOT __u_host RLIKE r'\A\[(?:{_IPV6})(?:%[^\]]+)?\]\z', false)"
+        " AS __u_malformed",
     ),
 )
 _RESOLVED_PATH = r"""CASE
-    WHEN startswith(u_tail, '/') THEN u_tail
-    WHEN u_merged IS NOT NULL THEN {collapsed}
-    WHEN u_tail <> '' THEN if(u_has_authority, '/', '') || u_tail
-    WHEN u_body = '' AND u_query IS NOT NULL AND u_relative
-      THEN regexp_extract(u_base_path, r'(?s)\A(.*)/', 1) || '/'
-    ELSE u_base_path END"""
+    WHEN startswith(__u_tail, '/') THEN __u_tail
+    WHEN __u_merged IS NOT NULL THEN {collapsed}
+    WHEN __u_tail <> '' THEN if(__u_has_authority, '/', '') || __u_tail
+    WHEN __u_body = '' AND __u_query IS NOT NULL AND __u_relative
+      THEN regexp_extract(__u_base_path, r'(?s)\A(.*)/', 1) || '/'
+    ELSE __u_base_path END"""
 _PARTS = """CASE
-  WHEN u_protocol = 'mailto' THEN
-    CASE WHEN NOT u_rest RLIKE r'\\A\\s*+\\z' THEN named_struct(
-      'protocol', u_protocol, 'has_authority', false, 'host', '', 'port', CAST(NULL AS STRING),
-      'path', u_rest, 'query', CAST(NULL AS STRING)) END
-  WHEN NOT u_malformed THEN named_struct(
-    'protocol', u_protocol,
-    'has_authority', u_has_authority,
-    'host', CASE WHEN u_server IS NOT NULL THEN lower(u_host)
-      WHEN u_authority IS NOT NULL THEN '' ELSE coalesce(u_base.host, '') END,
-    'port', CASE WHEN u_server IS NULL THEN u_base.port
-      WHEN u_port >= 0 THEN CAST(u_port AS STRING) END,
+  WHEN __u_protocol = 'mailto' THEN
+    CASE WHEN NOT __u_rest RLIKE r'\\A\\s*+\\z' THEN named_struct(
+      'protocol', __u_protocol, 'has_authority', false, 'host', '', 'port', CAST(NULL AS STRING),
+      'path', __u_rest, 'query', CAST(NULL AS STRING)) END
+  WHEN NOT __u_malformed THEN named_struct(
+    'protocol', __u_protocol,
+    'has_authority', __u_has_authority,
+    'host', CASE WHEN __u_server IS NOT NULL THEN lower(__u_host)
+      WHEN __u_authority IS NOT NULL THEN '' ELSE coalesce(__u_base.host, '') END,
+    'port', CASE WHEN __u_server IS NULL THEN __u_base.port
+      WHEN __u_port >= 0 THEN CAST(__u_port AS STRING) END,
     'path', {path},
-    'query', CASE WHEN u_rest = '' AND u_relative THEN u_base.query ELSE u_query END)
+    'query', CASE WHEN __u_rest = '' AND __u_relative THEN __u_base.query ELSE __u_query END)
   END"""
 
 # The "." and ".." segments of a path that was merged from a base and a link.  ".."
@@ -149,26 +149,26 @@ _PARTS = """CASE
 # The fold runs over the ".." segments alone, so other segments cost nothing.
 _DOT_LEVELS = (
     (
-        "CASE WHEN contains(u_merged, '/.') OR startswith(u_merged, './')"
-        r" THEN split(regexp_replace(u_merged, r'(?:/\.(?=/))++', ''), r'/\.\.(?=/)')"
-        " END AS u_pieces",
+        "CASE WHEN contains(__u_merged, '/.') OR startswith(__u_merged, './')"
+        r" THEN split(regexp_replace(__u_merged, r'(?:/\.(?=/))++', ''), r'/\.\.(?=/)')"
+        " END AS __u_pieces",
     ),
     (
-        """aggregate(slice(u_pieces, 2, size(u_pieces)), u_pieces[0], (done, piece) -> CASE
+        """aggregate(slice(__u_pieces, 2, size(__u_pieces)), __u_pieces[0], (done, piece) -> CASE
           WHEN contains(done, '/') AND done <> '/..'
             THEN left(done, length(done) - length(substring_index(done, '/', -1)) - 1) || piece
-          ELSE done || '/..' || piece END) AS u_walked""",
+          ELSE done || '/..' || piece END) AS __u_walked""",
     ),
     (
         # A final ".." is taken from the first "/..", which need not be the last one.
-        "CASE WHEN endswith(u_walked, '/..')"
-        r" THEN nullif(regexp_extract(left(u_walked, instr(u_walked, '/..') - 1),"
-        r" r'(?s)\A(.*/)', 1), '') END AS u_cut",
+        "CASE WHEN endswith(__u_walked, '/..')"
+        r" THEN nullif(regexp_extract(left(__u_walked, instr(__u_walked, '/..') - 1),"
+        r" r'(?s)\A(.*/)', 1), '') END AS __u_cut",
     ),
 )
 _COLLAPSED = (
-    "CASE WHEN u_pieces IS NULL THEN u_merged ELSE"
-    r" regexp_replace(coalesce(u_cut, u_walked), r'(?s)\A\./(?=.)|(?<=/)\.\z', '') END"
+    "CASE WHEN __u_pieces IS NULL THEN __u_merged ELSE"
+    r" regexp_replace(coalesce(__u_cut, __u_walked), r'(?s)\A\./(?=.)|(?<=/)\.\z', '') END"
 )
 
 
@@ -178,10 +178,10 @@ def with_url_parts(df: DataFrame, spec: str, out: str, base: str | None = None)
     ``base`` names a column that an earlier call made for the page; without it only
     absolute URLs are well-formed.  Malformed URLs give NULL.
     """
-    kept = df.columns
+    kept = [f"`{name}`" for name in df.columns]
     if base is None:
         levels = (*_TEXT, *_NO_BASE, *_LEVELS)
-        collapsed = "u_merged"
+        collapsed = "__u_merged"
     else:
         levels = (*_TEXT, *_BASE, *_LEVELS, *_DOT_LEVELS)
         collapsed = _COLLAPSED

@@ -57,7 +57,10 @@ def crawl_pages(metadata: DataFrame) -> DataFrame:
         .otherwise(OK)
     )
     df = with_computed_once(df, "outcome", outcome)
-    if_success = lambda column: F.when(F.col("success"), column)
+
+    def if_success(column: Column) -> Column:
+        return F.when(F.col("success"), column)
+
     anchors = F.filter(page["content"]["links"], lambda link: link["type"] == _ANCHOR)
     return df.select(
         "source_url",

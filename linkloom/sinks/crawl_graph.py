@@ -22,7 +22,10 @@ def crawl_graph_lines(pages: DataFrame) -> DataFrame:
     hrefs = F.coalesce("hrefs", F.array().cast("array<string>"))
     entries = F.concat(F.array(F.lit(None).cast("string")), hrefs)
     rows = good.select(
-        "id", "base", tsv_line(vertex_columns).alias("line"), F.posexplode(entries).alias("entry", "href")
+        "id",
+        "base",
+        tsv_line(vertex_columns).alias("line"),
+        F.posexplode(entries).alias("entry", "href"),
     )
     is_vertex = F.col("entry") == 0
     rows = rows.withColumn("line", F.when(is_vertex, F.col("line")))
