@@ -164,8 +164,19 @@ def q_vertices_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
+_written: dict[tuple[str, ...], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], str]) -> str:
+    """The files that ``write`` makes from the tables, made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        _written[key] = write(derive.scratch_path(spark, name))
+    return _written[key]
+
+
 def _warc(spark: SparkSession, sf_dir: str) -> str:
-    return derive.write_warc(_pages(spark, sf_dir), derive.scratch_path(spark, "warc"))
+    return _once(spark, sf_dir, "warc", lambda p: derive.write_warc(_pages(spark, sf_dir), p))
 
 
 def q_warc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,8 +253,10 @@ def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = derive.scratch_path(spark, "metadata")
-    return read_crawl_metadata(spark, derive.write_sequence_file(_metadata(spark, sf_dir), path))
+    def write(path: str) -> str:
+        return derive.write_sequence_file(_metadata(spark, sf_dir), path)
+
+    return read_crawl_metadata(spark, _once(spark, sf_dir, "metadata", write))
 
 
 def q_cc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

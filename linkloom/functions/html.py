@@ -91,10 +91,12 @@ def href_attributes(html: Column) -> Column:
 
 def href_value(attribute: Column | str) -> Column:
     """The undecoded value of an ``href`` attribute; a bare ``href`` has the value ``""``."""
+    attribute = F.col(attribute) if isinstance(attribute, str) else attribute
+    usual = attribute.startswith('href="') | attribute.startswith("href='")
+    inside = F.substring(attribute, F.lit(7), F.length(attribute) - 7)
     quoted = r""""([^"]*+)"|'([^']*+)'"""
-    return F.regexp_replace(
-        attribute, rf"(?is)\Ahref(?:{_WS}*+={_WS}*+(?:(?:{quoted})\z)?+)?+", "$1$2"
-    )
+    pattern = rf"(?is)\Ahref(?:{_WS}*+={_WS}*+(?:(?:{quoted})\z)?+)?+"
+    return F.when(usual, inside).otherwise(F.regexp_replace(attribute, pattern, "$1$2"))
 
 
 def decode_entities(text: str) -> str:

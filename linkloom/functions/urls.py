@@ -52,12 +52,24 @@ def url_text(parts: Column) -> Column:
     )
 
 
+# The part of a path up to its last "/"; nothing if it has none.
+_FOLDER = "left({0}, length({0}) - length(substring_index({0}, '/', -1)))"
+
 # Each level refers to the levels before it.  The first ones differ for absolute URLs
 # and for links.
 _TEXT = (
     # Blanks around the URL and a leading "url:" are ignored.
-    (rf"regexp_replace(btrim({{spec}}, {_BLANKS}), r'(?i)\Aurl:', '') AS __u_text",),
-    (f"nullif(lower(regexp_extract(__u_text, r'{_PROTOCOL}', 1)), '') AS __u_named",),
+    (f"btrim({{spec}}, {_BLANKS}) AS __u_trimmed",),
+    (
+        "CASE WHEN lower(left(__u_trimmed, 4)) = 'url:' THEN substr(__u_trimmed, 5)"
+        " ELSE __u_trimmed END AS __u_text",
+    ),
+    (
+        "CASE WHEN NOT contains(__u_text, ':') THEN NULL"
+        " WHEN startswith(__u_text, 'http:') THEN 'http'"
+        " WHEN startswith(__u_text, 'https:') THEN 'https'"
+        f" ELSE nullif(lower(regexp_extract(__u_text, r'{_PROTOCOL}', 1)), '') END AS __u_named",
+    ),
 )
 _REST = "substring_index(substr(__u_text, coalesce(length(__u_named) + 2, 1)), '#', 1) AS __u_rest"
 _NO_BASE = (
@@ -102,7 +114,7 @@ _LEVELS = (
         r" THEN regexp_extract(__u_server, r'\A(\[[^\]]{2,}\])(?=:|\z)', 1)"
         r" ELSE substring_index(__u_server, ':', 1) END AS __u_host",
         "CASE WHEN __u_tail <> '' AND NOT startswith(__u_tail, '/') AND __u_base_path <> ''"
-        r" THEN regexp_extract(__u_base_path, r'(?s)\A(.*/)', 1) END AS __u_folder",
+        f" THEN {_FOLDER.format('__u_base_path')} END AS __u_folder",
     ),
     (
         "substr(__u_server, length(__u_host) + 2) AS __u_port_text",
@@ -110,7 +122,7 @@ _LEVELS = (
         " ELSE __u_folder || __u_tail END AS __u_merged",
     ),
     (
-        r"CASE WHEN __u_port_text RLIKE r'\A[+-]?[0-9]++\z'"
+        r"CASE WHEN __u_port_text <> '' AND __u_port_text RLIKE r'\A[+-]?[0-9]++\z'"
         " THEN try_cast(__u_port_text AS INT) END AS __u_port",
     ),
     (

@@ -94,7 +94,8 @@ def _json_is_bad() -> Column:
     )
     nested = [page[name].startswith("{") | page[name].startswith("[") for name in _MEMBERS]
     nested.append(page["content"]["type"].rlike(r"\A[{\[]"))
-    unclear = page["_corrupt"].isNotNull() | F.col("json").rlike(r":\s*null")
+    has_null = F.contains("json", F.lit("null")) & F.rlike("json", F.lit(r":\s*null"))
+    unclear = page["_corrupt"].isNotNull() | has_null
     for condition in nested:
         unclear = unclear | F.coalesce(condition, F.lit(False))
     return (

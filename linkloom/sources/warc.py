@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Iterator
 from gzip import BadGzipFile, GzipFile
 from io import BufferedReader, RawIOBase
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -140,10 +141,11 @@ def _open(path: str) -> BufferedReader:
 
     scheme, _, rest = path.partition(":")
     if scheme == "file":
-        path = "file:///" + rest.lstrip("/")
-    elif scheme in ("s3a", "s3n"):
-        path = "s3:" + rest
-    filesystem, name = fs.FileSystem.from_uri(path)
+        filesystem, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+        # Spark gives paths as they are; in a URI some characters need escaping.
+        filesystem, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
     raw = filesystem.open_input_stream(name, compression=None, buffer_size=_CHUNK)
     unpacked = _Unpacked(GzipFile(fileobj=raw)) if name.endswith(".gz") else raw
     return BufferedReader(unpacked, _CHUNK)

@@ -148,6 +148,12 @@ def test_globs(spark, tmp_path):
     assert sorted(contents(found.collect())) == [b"Disk1", b"Disk2"]
 
 
+def test_file_names_need_no_escaping(read):
+    for name in ("a b.warc.gz", "é%20+@.warc"):
+        (row,) = read(record(b"x"), name)
+        assert bytes(row.content) == b"x"
+
+
 def test_page_outcomes_and_the_size_limit(spark, rows, tmp_path):
     limit = 4 * 1024 * 1024
     data = [
