@@ -6,6 +6,9 @@ it went well, which links the page has.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +47,17 @@ def crawl_pages(metadata: DataFrame) -> DataFrame:
     ``outcome`` is ``OK``, or says that the address or the JSON is bad.  Only the row
     itself is set aside; the others of its file are not affected.
     """
-    df = metadata.withColumnRenamed("url", "source_url")
+    df = metadata.select(F.col("url").alias("source_url"), "json")
     df = with_url_parts(df, "source_url", "base")
     df = df.withColumn("url", url_text(F.col("base")))
     df = with_computed_once(df, "page", F.from_json("json", _JSON_SCHEMA, _JSON_OPTIONS))
     page = F.col("page")
     success = F.coalesce(page["disposition"] != _FAILURE, F.lit(False))
-    df = df.withColumn("success", success)
+    df = df.withColumns({"success": success, "unclear": _is_unclear()})
+    members = F.when(F.col("unclear"), F.from_json("json", _MAP, _JSON_OPTIONS))
+    df = with_computed_once(df, "members", members)
+    content = F.from_json(_member("members", "content"), _MAP, _JSON_OPTIONS)
+    df = with_computed_once(df, "content", content)
     outcome = (
         F.when(F.col("url").isNull(), BAD_SOURCE_URL)
         .when(_json_is_bad(), JSON_ERROR)
@@ -78,66 +85,76 @@ def crawl_pages(metadata: DataFrame) -> DataFrame:
     )
 
 
-def _json_is_bad() -> Column:
-    """Broken JSON, or a member that is used but is null or of the wrong type.
+def _member(members: str, name: str) -> Column:
+    return F.try_element_at(F.col(members), F.lit(name))
+
 
-    The first parse shows nearly all rows to be good.  What it cannot tell apart, such
-    as a null member from a missing one, is settled by a second parse of those rows.
+def _is_unclear() -> Column:
+    """Whether the first parse leaves open if a row's JSON is good.
+
+    It cannot tell a null member from a missing one, or an object from text that looks
+    like one.  The few rows this may concern are parsed again, as maps.
     """
+    page = F.col("page")
+    has_null = F.contains("json", F.lit("null")) & F.rlike("json", F.lit(r":\s*null"))
+    unclear = page["_corrupt"].isNotNull() | has_null
+    for text in (*(page[name] for name in _MEMBERS), page["content"]["type"]):
+        unclear = unclear | F.coalesce(_looks_nested(text), F.lit(False))
+    return unclear
+
+
+def _looks_nested(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
+
+
+def _json_is_bad() -> Column:
+    """Broken JSON, or a member that is used but is null or of the wrong type."""
     page, success = F.col("page"), F.col("success")
-    links = page["content"]["links"]
     bad_link = F.exists(
-        links,
+        page["content"]["links"],
         lambda link: link.isNull()
         | link["type"].isNull()
         | ((link["type"] == _ANCHOR) & link["href"].isNull()),
     )
-    nested = [page[name].startswith("{") | page[name].startswith("[") for name in _MEMBERS]
-    nested.append(page["content"]["type"].rlike(r"\A[{\[]"))
-    has_null = F.contains("json", F.lit("null")) & F.rlike("json", F.lit(r":\s*null"))
-    unclear = page["_corrupt"].isNotNull() | has_null
-    for condition in nested:
-        unclear = unclear | F.coalesce(condition, F.lit(False))
     return (
         page.isNull()
         | (success & F.coalesce(bad_link, F.lit(False)))
-        | F.when(unclear, _json_is_bad_after_all()).otherwise(False)
+        | F.when(F.col("unclear"), _json_is_bad_after_all()).otherwise(False)
     )
 
 
 def _json_is_bad_after_all() -> Column:
     page, success = F.col("page"), F.col("success")
-    members = F.from_json("json", _MAP, _JSON_OPTIONS)
-    content = F.from_json(members["content"], _MAP, _JSON_OPTIONS)
 
-    def is_null(parent: Column, name: str) -> Column:
-        return F.coalesce(
-            F.map_contains_key(parent, name) & F.try_element_at(parent, F.lit(name)).isNull(),
-            F.lit(False),
-        )
+    def is_null(members: str, name: str) -> Column:
+        present = F.map_contains_key(F.col(members), name)
+        return F.coalesce(present & _member(members, name).isNull(), F.lit(False))
 
-    def is_nested(name: str) -> Column:
-        value = F.try_variant_get(F.try_parse_json("json"), f"$.{name}", "variant")
-        return F.coalesce(F.schema_of_variant(value).rlike(r"\A(OBJECT|ARRAY)"), F.lit(False))
+    def is_nested(text: Column, path: str) -> Column:
+        value = F.try_variant_get(F.try_parse_json("json"), f"$.{path}", "variant")
+        nested = F.schema_of_variant(value).rlike(r"\A(OBJECT|ARRAY)")
+        return F.coalesce(F.when(_looks_nested(text), nested), F.lit(False))
+
+    def is_bad(name: str) -> Column:
+        return is_null("members", name) | is_nested(page[name], name)
 
     def any_of(conditions: list[Column]) -> Column:
-        return F.array_contains(F.array(*conditions), True)
+        return reduce(or_, conditions)
 
-    bad = [
-        members.isNull(),
-        is_null(members, "disposition"),
-        is_nested("disposition"),
-    ]
-    on_failure = [c for n in _FAILURE_MEMBERS for c in (is_null(members, n), is_nested(n))]
-    on_success = [c for n in _SUCCESS_MEMBERS for c in (is_null(members, n), is_nested(n))]
-    on_success += [
+    on_success = [
+        *map(is_bad, _SUCCESS_MEMBERS),
         page["_corrupt"].isNotNull(),
-        is_null(members, "content"),
-        is_null(content, "type"),
-        is_nested("content.type"),
-        is_null(content, "links"),
+        is_null("members", "content"),
+        is_null("content", "type"),
+        is_nested(page["content"]["type"], "content.type"),
+        is_null("content", "links"),
     ]
-    return any_of(bad) | F.when(success, any_of(on_success)).otherwise(any_of(on_failure))
+    on_failure = list(map(is_bad, _FAILURE_MEMBERS))
+    return (
+        F.col("members").isNull()
+        | is_bad("disposition")
+        | F.when(success, any_of(on_success)).otherwise(any_of(on_failure))
+    )
 
 
 def crawl_vertices(pages: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.html import decode_entities, href_attributes, href_value
 from linkloom.functions.urls import url_id, url_text, with_url_parts
-from linkloom.operators.pages import OK, _unpivot_counters
+from linkloom.operators.pages import OK, unpivot_counters
 
 # The names of the counters.
 LINKS = "LINKS"
@@ -44,7 +44,7 @@ def links(pages: DataFrame) -> DataFrame:
 
 def link_outcomes(links: DataFrame) -> DataFrame:
     """The link counters (``outcome``, ``n``); counters that stay at zero are left out."""
-    return _unpivot_counters(
+    return unpivot_counters(
         links.agg(
             F.count_if(F.col("outcome") == OK).alias(LINKS),
             F.count_if(F.col("outcome") == BAD_DEST_URL).alias(BAD_DEST_URL),

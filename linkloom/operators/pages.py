@@ -93,7 +93,7 @@ def page_outcomes(pages: DataFrame) -> DataFrame:
     """
     outcome = F.col("outcome")
     errors = (READ_ERROR, MISSING_TARGET, TOO_LARGE, BAD_SOURCE_URL)
-    return _unpivot_counters(
+    return unpivot_counters(
         pages.agg(
             F.count_if(outcome.isin(OK, BAD_SOURCE_URL)).alias(PAGES),
             *(F.count_if(outcome == name).alias(name) for name in errors),
@@ -101,5 +101,6 @@ def page_outcomes(pages: DataFrame) -> DataFrame:
     )
 
 
-def _unpivot_counters(counters: DataFrame) -> DataFrame:
+def unpivot_counters(counters: DataFrame) -> DataFrame:
+    """A row of counters as rows of (``outcome``, ``n``), without those at zero."""
     return counters.unpivot([], counters.columns, "outcome", "n").where("n > 0")

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "linkloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session for these jobs.  Cluster settings win over nothing but Spark's defaults."""
+    """A session with the settings these jobs count on; ``conf`` adds to them or replaces them."""
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",

@@ -1,3 +1,6 @@
+import random
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +67,33 @@ def test_cases(spark):
     assert list(zip((html for html, _ in CASES), found)) == CASES
 
 
+def test_agrees_with_another_parser_on_random_markup(spark):
+    class Links(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.found += [value or "" for name, value in attrs if name == "href"][:1]
+
+    def expected(page):
+        parser = Links()
+        parser.found = []
+        parser.feed(page)
+        parser.close()
+        return parser.found
+
+    pieces = [
+        "<a href=x>", "<a href='y z'>", '<A HREF="q&amp;r">', '<a class="c" href = u >',
+        "<a name=n>", "<a href>", "</a>", "<p>", "<p title='<a href=t>'>", "<div\nid=3>",
+        "<br/>", "text ", "a<b ", "1 < 2 ", "<!-- c <a href=c> -->", "<!DOCTYPE html>",
+        "<script>s='<a href=s>'</script>", "<style>a{}</style>", "<?pi <a href=p?>", '"', "'",
+        ">", "&lt;a href=e&gt;", '<img alt="a>b" src=z>', "<a\thref='&eacute;&#65;' x>",
+        "<a data-href=no>", "<a href=1 href=2>",
+    ]
+    rnd = random.Random(5)
+    pages = ["".join(rnd.choices(pieces, k=rnd.randint(1, 12))) for _ in range(1000)]
+    found = links(spark, [page.encode() for page in pages])
+    assert [(p, expected(p)) for p in pages] == list(zip(pages, found))
+
+
 @pytest.mark.parametrize(
     "raw, expected",
     [
