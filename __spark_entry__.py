@@ -7,6 +7,7 @@ both sides derive it by the same column rules.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -289,8 +290,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_edges(spark, "/root/testdata/sf0.001")
 
 
+def _added() -> list:
+    """The modules with further queries that are there."""
+    found = []
+    for name in ("linkloom.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ModuleNotFoundError as error:
+            if not (error.name or "").startswith(("linkloom.llm", "corpus_pipeline")):
+                raise
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    found = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    for module in _added():
+        found |= module.queries()
+    return found
 
 
 # --- The same in SQL -----------------------------------------------------------------
@@ -361,17 +377,23 @@ SELECT id AS src, {_ID("host || href")} AS dst FROM l WHERE length(href) >= 7"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "vertices": _VERTICES,
-        "edges": _EDGES,
-        "links": _LINKS,
-        "link_outcomes": f"""SELECT CASE outcome WHEN 'OK' THEN 'LINKS' ELSE outcome END AS outcome,
+    found = dict(_SQL)
+    for module in _added():
+        found |= module.oracle_sql()
+    return found
+
+
+_SQL = {
+    "vertices": _VERTICES,
+    "edges": _EDGES,
+    "links": _LINKS,
+    "link_outcomes": f"""SELECT CASE outcome WHEN 'OK' THEN 'LINKS' ELSE outcome END AS outcome,
   count(*) AS n FROM ({_LINKS}) GROUP BY 1""",
-        "page_outcomes": _OUTCOMES.format(size="strlen(html)"),
-        "corpus_totals": f"""SELECT count(*) AS records,
+    "page_outcomes": _OUTCOMES.format(size="strlen(html)"),
+    "corpus_totals": f"""SELECT count(*) AS records,
   CAST(coalesce(sum(len({_HREFS("html")})), 0) AS BIGINT) AS links
 FROM pages WHERE ({_BAD_URL}) IS NOT NULL""",
-        "url_identity": f"""WITH {_PAGE_LINKS},
+    "url_identity": f"""WITH {_PAGE_LINKS},
 n AS (SELECT host || file AS source, host, file, href, substr(href, 2) AS name,
     regexp_extract(file, '^([^?]*/)', 1) AS folder FROM l),
 u AS (
@@ -386,30 +408,30 @@ u AS (
   UNION ALL SELECT source, 'script', 'javascript:' || name, NULL FROM n
   UNION ALL SELECT source, 'mail', 'mailto:' || name, name FROM n)
 SELECT source, form, spec, url, {_ID("url")} AS id FROM u""",
-        "word_count": _TOKENS,
-        "file_word_count": _TOKENS,
-        "full_scan": """SELECT count(*) AS n_rows, CAST(sum(strlen(html)) AS BIGINT) AS n_bytes,
+    "word_count": _TOKENS,
+    "file_word_count": _TOKENS,
+    "full_scan": """SELECT count(*) AS n_rows, CAST(sum(strlen(html)) AS BIGINT) AS n_bytes,
   CAST(sum(CAST('0x' || substr(md5(html), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM pages""",
-        "custom_page_job": f"""SELECT {_HOST("url")} AS host, count(*) AS n_pages,
+    "custom_page_job": f"""SELECT {_HOST("url")} AS host, count(*) AS n_pages,
   CAST(sum(strlen(html)) AS BIGINT) AS n_bytes
 FROM (SELECT html, {_BAD_URL} AS url FROM pages)
 WHERE url IS NOT NULL AND NOT starts_with(url, 'no-') GROUP BY 1""",
-        "edges_tsv": f"SELECT src || chr(9) || dst AS value FROM ({_EDGES})",
-        "vertices_tsv": f"SELECT id || chr(9) || url AS value FROM ({_VERTICES})",
-        "warc_scan": f"""SELECT record_type, warc_date, record_id, content_type, content_length,
+    "edges_tsv": f"SELECT src || chr(9) || dst AS value FROM ({_EDGES})",
+    "vertices_tsv": f"SELECT id || chr(9) || url AS value FROM ({_VERTICES})",
+    "warc_scan": f"""SELECT record_type, warc_date, record_id, content_type, content_length,
   target_uri, content, CAST(NULL AS VARCHAR) AS read_error FROM ({_RECORDS})""",
-        "warc_headers": f"""SELECT record_type, warc_date, record_id, content_type, content_length,
+    "warc_headers": f"""SELECT record_type, warc_date, record_id, content_type, content_length,
   target_uri, 'page-' || page_id AS doc_id,
   CAST(length('WARC/1.0' || record_type || warc_date || record_id || content_type || content_length
     || target_uri || 'page-' || page_id)
     + length('WARC-TypeWARC-DateWARC-Record-IDContent-TypeContent-LengthWARC-Target-URIWARC-TREC-ID')
     + 1 + 7 * 3 + content_length AS BIGINT) AS total_length
 FROM ({_RECORDS})""",
-        "warc_body": "SELECT url AS target_uri, chr(13) || chr(10) || html AS body FROM pages",
-        "warc_vertices": _VERTICES,
-        "warc_edges": _EDGES,
-        "warc_page_outcomes": _OUTCOMES.format(size=f"strlen({_HTTP})"),
-        "cc_scan": f"""WITH {_PARTS}, {_META}
+    "warc_body": "SELECT url AS target_uri, chr(13) || chr(10) || html AS body FROM pages",
+    "warc_vertices": _VERTICES,
+    "warc_edges": _EDGES,
+    "warc_page_outcomes": _OUTCOMES.format(size=f"strlen({_HTTP})"),
+    "cc_scan": f"""WITH {_PARTS}, {_META}
 SELECT source_url AS url,
   CASE WHEN broken THEN NULL WHEN failed THEN 'FAILURE' WHEN NOT undecided THEN 'SUCCESS' END
     AS disposition,
@@ -418,14 +440,14 @@ SELECT source_url AS url,
   CASE WHEN NOT broken THEN CAST(size AS VARCHAR) END AS content_len,
   CASE WHEN typed AND NOT broken THEN 'text/html' END AS mime_type
 FROM m""",
-        "cc_vertices": _CC_VERTICES,
-        "cc_edges": _CC_EDGES,
-        "cc_outcomes": f"""WITH {_PARTS}, {_META}
+    "cc_vertices": _CC_VERTICES,
+    "cc_edges": _CC_EDGES,
+    "cc_outcomes": f"""WITH {_PARTS}, {_META}
 SELECT CASE WHEN broken THEN 'ERROR_JSON' ELSE 'OK' END AS outcome,
   NOT broken AND NOT failed AND NOT undecided AS success, count(*) AS n FROM m GROUP BY 1, 2""",
-        "cc_graph_tsv": f"""SELECT 'edges.out' AS file, src || chr(9) || dst AS value FROM ({_CC_EDGES})
+    "cc_graph_tsv": f"""SELECT 'edges.out' AS file, src || chr(9) || dst AS value FROM ({_CC_EDGES})
 UNION ALL SELECT 'vertexes.out', concat_ws(chr(9), url, id, success, coalesce(cc_content_type, 'null'),
   coalesce(http_result, 'null'), coalesce(http_content_length, 'null'),
   coalesce(http_mime_type, 'null'), coalesce(failure_reason, 'null'),
   coalesce(failure_detail, 'null')) FROM ({_CC_VERTICES})""",
-    }
+}

@@ -6,28 +6,14 @@ write the whole table in that form below the shared scratch folder.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.scratch import scratch_path as scratch_path
+
 RECORDS_PER_WARC = 40_000
 WARC_DATE = "2012-02-10T21:51:20Z"
 _TEXT = "org.apache.hadoop.io.Text"
-_local_scratch: list[str] = []
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the session names, if it names one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if not _local_scratch:
-            _local_scratch.append(tempfile.mkdtemp(prefix="linkloom-"))
-        folder = _local_scratch[0]
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def http_payload(html: Column) -> Column:
