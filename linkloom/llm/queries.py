@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.byte_pairs import round_trip_digests
+from linkloom.llm.packing import pack_documents
 from linkloom.llm.token_files import token_file_index, write_token_files
 from linkloom.scratch import scratch_path
 
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -27,7 +32,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-_QUERIES = (op4_token_files, op9_byte_bpe)
+_QUERIES = (op3_packing, op4_token_files, op9_byte_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
