@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from linkloom.llm import oracles
 from linkloom.llm.byte_pairs import round_trip_digests
 from linkloom.llm.packing import pack_documents
+from linkloom.llm.quality import quality_verdicts
+from linkloom.llm.site_lines import line_report
 from linkloom.llm.token_files import token_file_index, write_token_files
 from linkloom.scratch import scratch_path
 
@@ -27,12 +30,20 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_index(spark, path)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return round_trip_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-_QUERIES = (op3_packing, op4_token_files, op9_byte_bpe)
+def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op3_packing, op4_token_files, op5_quality, op9_byte_bpe, op10_site_lines)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -40,4 +51,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.SQL
