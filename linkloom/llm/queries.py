@@ -11,6 +11,7 @@ from linkloom.llm import oracles
 from linkloom.llm.byte_pairs import round_trip_digests
 from linkloom.llm.languages import identify
 from linkloom.llm.packing import pack_documents
+from linkloom.llm.probminhash import near_duplicates
 from linkloom.llm.quality import quality_verdicts
 from linkloom.llm.site_lines import line_report
 from linkloom.llm.token_files import token_file_index, write_token_files
@@ -39,6 +40,10 @@ def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return round_trip_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -48,7 +53,7 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op3_packing, op4_token_files, op5_quality, op7_languages, op9_byte_bpe, op10_site_lines)
+_QUERIES = (op3_packing, op4_token_files, op5_quality, op7_languages, op8_near_duplicates, op9_byte_bpe, op10_site_lines)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
