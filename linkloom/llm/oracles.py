@@ -78,4 +78,35 @@ _SITE_LINES = rf"""WITH pages AS (SELECT DISTINCT source, text FROM documents WH
 SELECT doc_id, CAST(coalesce(len(before), 0) AS BIGINT) AS n_lines,
   CAST(coalesce(len(before) - len(after), 0) AS BIGINT) AS n_dropped, array_to_string(after, chr(10)) AS text FROM kept"""
 
-SQL = {"op5_quality": _QUALITY, "op10_site_lines": _SITE_LINES}
+_PIVOT = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+_LISTS = """WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host,
+    regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+  changes AS (SELECT 'list' || (page_id % 4) AS list,
+    CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]*[.]', '')
+      ELSE host || regexp_extract(path, '^(/[^/]*/)', 1) END AS entry,
+    page_id % 5 < 3 AS added, DATE '2024-01-01' + CAST((page_id * 7) % 366 AS INTEGER) AS day FROM p),
+  captures AS (SELECT *, DATE '2024-01-01' + CAST((page_id * 11) % 366 AS INTEGER) AS fetched_at FROM p),
+  last AS (SELECT c.page_id, h.list, h.entry, max(h.day) AS day FROM captures AS c JOIN changes AS h
+    ON h.day <= c.fetched_at AND (c.host = h.entry OR ends_with(c.host, '.' || h.entry)
+      OR (contains(h.entry, '/') AND starts_with(c.host || c.path, h.entry))) GROUP BY ALL),
+  active AS (SELECT page_id, list FROM last JOIN changes USING (list, entry, day)
+    GROUP BY page_id, list, entry HAVING bool_and(added)),
+  found AS (SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM active GROUP BY page_id)
+SELECT page_id, url, fetched_at, coalesce(lists, '') AS lists, lists IS NOT NULL AS blocked
+FROM captures LEFT JOIN found USING (page_id)"""
+
+_CHAT = r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, turn, CASE turn WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) AS t(turn)),
+  e AS (SELECT *, length(role || text) + 32 + len(regexp_extract_all(role || chr(10) || text, '<\\*\|')) AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id"""
+
+SQL = {"op6_chat_masks": _CHAT, "op1_pivot_search": _PIVOT, "op2_dated_lists": _LISTS, "op5_quality": _QUALITY, "op10_site_lines": _SITE_LINES}
