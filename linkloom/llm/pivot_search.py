@@ -171,6 +171,11 @@ def build(vectors: DataFrame, index: PivotIndex) -> DataFrame:
     return written(placed.mapInArrow(pack, "cell int, low double, high double, ids array<long>, rows binary"), "index")
 
 
+def _floor(least: np.ndarray) -> np.ndarray:
+    """What an inner product must reach; the least long stands for any."""
+    return np.where(least == -_LONG - 1, -np.inf, least.astype(float))
+
+
 def _routed(queries: DataFrame, index: PivotIndex, counts: np.ndarray, k: int, first: bool) -> DataFrame:
     """Blocks of queries for each cell that they have to look into.
 
@@ -192,7 +197,7 @@ def _routed(queries: DataFrame, index: PivotIndex, counts: np.ndarray, k: int, f
                 ids, least = part.column("vec_id").to_numpy(), np.full(part.num_rows, -_LONG - 1)
                 if not first:
                     least = part.column("least").fill_null(-_LONG - 1).to_numpy()
-                    want = ~want & (bounds >= least[:, None].astype(float))
+                    want = ~want & (bounds >= _floor(least)[:, None])
                 want &= counts > 0
                 for cell in np.flatnonzero(want.any(0)).tolist():
                     own = want[:, cell]
@@ -216,7 +221,7 @@ def _compared(routed: DataFrame, blocks: DataFrame, index: PivotIndex, k: int) -
                 query_ids, least = np.array(part["query_ids"]), np.array(part["least"])
                 from_pivot = index.from_pivots(queries)[:, part["cell"] // RINGS]
                 gap = np.maximum(from_pivot - part["high"], part["low"] - from_pivot)
-                near = index.best_product(queries, gap) >= least.astype(float)
+                near = index.best_product(queries, gap) >= _floor(least)
                 if not near.any():
                     continue
                 queries, query_ids, least = queries[near], query_ids[near], least[near]

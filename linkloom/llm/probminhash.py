@@ -7,11 +7,13 @@ Two texts agree in a component with the probability Jaccard similarity of their
 A process ends as soon as its time is later than the last first arrival so far.
 
 Texts with the same words are one *text* from the start.  Texts that agree in a band of
-``ROWS`` components share a bucket.  In each bucket a leader is compared with all others,
-exactly; then, as long as a bucket holds texts that are not yet in one class, more of
-those become leaders, eight times as many in each round, until each has been one.  So no
-link between texts of a bucket is lost, while large buckets whose texts belong together
-take a number of comparisons in proportion to their size.
+``ROWS`` components share a bucket.  The leader of a bucket is its text with the most
+company in all of its buckets: of copies that differ from each other, the original.  All
+texts of buckets with one leader are a *group*.  Each is compared with the leader, exactly,
+by the Jaccard similarity of the sets of shingles.  Groups in which some are not linked to
+the leader compare those, the outsiders, with all texts of other classes, in blocks of
+bounded size.  So no link between texts of a bucket is lost, no pairs of a group are ever
+listed, and a group that hangs together takes comparisons in proportion to its size.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.segments import slices, text_bytes
@@ -33,8 +35,8 @@ SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
 COMPONENTS = BANDS * ROWS
-#: Leaders of each bucket in each round after the first.
-_LEADERS = 8
+#: Texts of a block, and bytes of their shingles, at most (but one text at least).
+_BLOCK, _BLOCK_BYTES = 256, 2 << 20
 _NO_TEXT = b""
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
@@ -134,69 +136,119 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``key, shingles, weights`` of the texts whose ``rep`` and ``key`` are wanted."""
+    """``key, shingles`` of the texts whose ``rep`` and ``key`` are wanted."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             words, counts = _words(piece.column("text"))
-            keys, shingles, weights = [], [], []
+            keys, shingles = [], []
             for part, key in zip(np.split(words, np.cumsum(counts)[:-1]), piece.column("key").to_pylist(), strict=True):
                 if xxhash.xxh3_128_digest(part.tobytes()) == key:  # else another text with this doc_id
-                    some, often = _shingles(part)
                     keys.append(key)
-                    shingles.append(some.tobytes())
-                    weights.append(often.astype(np.uint32).tobytes())
-            columns = [pa.array(x, pa.binary()) for x in (keys, shingles, weights)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles", "weights"])
+                    shingles.append(_shingles(part)[0].tobytes())
+            columns = [pa.array(x, pa.binary()) for x in (keys, shingles)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
 
     texts = documents.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
-    found = texts.select("text", "key").mapInArrow(rows, "key binary, shingles binary, weights binary")
-    return found.dropDuplicates(["key"])
+    return texts.select("text", "key").mapInArrow(rows, "key binary, shingles binary").dropDuplicates(["key"])
 
 
-def similarity(a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarray) -> float:
-    """The larger of the probability Jaccard similarity and the plain one.
+def _alike(both: np.ndarray | int, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray | bool:
+    """Whether sets of ``a`` and ``b`` shingles, ``both`` of them common, are similar enough."""
+    return both >= (SIMILARITY - 1e-9) * (a + b - both)
 
-    ``a`` and ``b`` are ascending shingles with weights ``p`` and ``q``.
-    """
-    both, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not len(both):
-        return 0.0
-    plain = len(both) / (len(a) + len(b) - len(both))
-    p, q = p / p.sum(), q / q.sum()
-    ratio = p[in_a] / q[in_b]
-    # sum of max(p, r * q) over all shingles, for each ratio r: those with p / q >= r count p
-    order = np.argsort(ratio)
-    only_p = 1.0 - p[in_a].sum()
-    low_q = np.concatenate([[0.0], np.cumsum(q[in_b][order])])
-    high_p = np.concatenate([np.cumsum(p[in_a][order][::-1])[::-1], [0.0]])
-    only_q = 1.0 - low_q[-1]
-    at = np.searchsorted(ratio[order], ratio, "left")
-    total = only_p + high_p[at] + ratio * (only_q + low_q[at])
-    return max(float((p[in_a] / total).sum()), plain)
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar enough."""
+
+def _linked_to_leader(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: the leaders and texts that are similar enough."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(n) for n in ("sa", "wa", "sb", "wb")]
             kept = []
+            for one, other in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                a, b = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                kept.append(bool(_alike(both, len(a), len(b))))
+            found = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
+            yield found.filter(pa.array(kept, pa.bool_()))
+
+    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    pairs = groups.where("key != leader").select(F.col("leader").alias("a"), F.col("key").alias("b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(rows, "a binary, b binary")
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Texts of one group, with class and shingles, in rows of bounded size."""
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = members.repartitionByRange(partitions, "leader", "key").sortWithinPartitions("leader", "key")
+    kinds = [pa.binary(), *[pa.list_(pa.binary())] * 3]
+    names = ["leader", "keys", "classes", "sets"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, held, size = None, [], 0
+
+        def block() -> pa.RecordBatch:
+            values = [[leader], *([list(x)] for x in zip(*held, strict=True))]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
+
+        for batch in batches:
+            for of, *member in zip(*(batch.column(n).to_pylist() for n in ("leader", "key", "class", "shingles")), strict=True):
+                if held and (of != leader or len(held) == _BLOCK or size + len(member[2]) > _BLOCK_BYTES):
+                    yield block()
+                    held, size = [], 0
+                leader = of
+                held.append(member)
+                size += len(member[2])
+        if held:
+            yield block()
+
+    schema = "leader binary, keys array<binary>, classes array<binary>, sets array<binary>"
+    return written(ordered.mapInArrow(rows, schema), "blocks")
+
+
+def block_links(outside: dict, members: dict) -> list[tuple[bytes, bytes]]:
+    """Links between texts of two blocks; for each text and other class one is enough."""
+    sets = [np.frombuffer(x, np.uint64) for x in outside["sets"]]
+    others = [np.frombuffer(x, np.uint64) for x in members["sets"]]
+    different, number = np.unique(np.concatenate(others), return_inverse=True)
+    sizes = np.array([len(x) for x in others])
+    starts = np.cumsum(sizes) - sizes
+    classes = np.array([*members["classes"], None], object)[:-1]
+    found = []
+    for key, own_class, own in zip(outside["keys"], outside["classes"], sets, strict=True):
+        place = np.minimum(np.searchsorted(different, own), len(different) - 1)
+        has = np.zeros(len(different), np.int64)
+        has[place[different[place] == own]] = 1
+        both = np.add.reduceat(has[number], starts)
+        seen = {own_class}
+        for i in np.flatnonzero(_alike(both, len(own), sizes)).tolist():
+            if classes[i] not in seen:
+                seen.add(classes[i])
+                found.append((key, members["keys"][i]))
+    return found
+
+
+def _links_of_outsiders(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: links that groups have besides those to their leader."""
+    mains = named.where("key = leader").select("leader", F.col("class").alias("main"))
+    marked = named.join(mains, "leader").withColumn("outside", F.col("class") != F.col("main"))
+    open_groups = marked.where("outside").select("leader").distinct()
+    marked = written(marked.join(open_groups, "leader", "left_semi").select("leader", "key", "class", "outside"), "open")
+    full = marked.join(sets, "key")
+    every = _blocks(full)
+    some = _blocks(full.where("outside"))
+    names = ["keys", "classes", "sets"]
+    some = some.select("leader", *(F.col(n).alias(f"o_{n}") for n in names))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             for i in range(batch.num_rows):
-                sa, wa, sb, wb = (c[i].as_buffer() for c in columns)
-                score = similarity(
-                    np.frombuffer(sa, np.uint64), np.frombuffer(wa, np.uint32),
-                    np.frombuffer(sb, np.uint64), np.frombuffer(wb, np.uint32),
-                )
-                kept.append(score >= SIMILARITY - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
+                row = batch.slice(i, 1).to_pylist()[0]
+                found = block_links({n: row[f"o_{n}"] for n in names}, {n: row[n] for n in names})
+                columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    near = sets.join(ends, "key", "left_semi")
-    left = near.select(F.col("key").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
-    right = near.select(F.col("key").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(rows, "a binary, b binary")
+    return some.join(every, "leader").mapInArrow(rows, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -228,37 +280,22 @@ def _classes(documents: DataFrame, prints: DataFrame) -> DataFrame:
     )
     texts = written(texts, "texts")
     placed = texts.select("key", F.explode("buckets").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("leader"))
-    members = written(placed.join(shared.where("n > 1"), "bucket").select("bucket", "key", "leader"), "members")
-    wanted = texts.select("key", "rep").join(members.select("key").distinct(), "key", "left_semi")
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(placed.join(shared, "bucket"), "members")
+    company = members.groupBy("key").agg(F.sum("n").alias("company"))
+    ranked = written(members.join(company, "key").select("bucket", F.struct("company", "key").alias("text")), "ranked")
+    leaders = ranked.groupBy("bucket").agg(F.max("text").alias("leader"))
+    groups = ranked.join(leaders, "bucket").select(F.col("leader.key").alias("leader"), F.col("text.key").alias("key"))
+    groups = written(groups.distinct(), "groups")
+    wanted = texts.select("key", "rep").join(company.select("key"), "key", "left_semi")
     sets = written(_shingle_sets(documents, wanted), "shingles")
-
-    def pair(x: str, y: str) -> list:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-    pairs = written(members.where("key != leader").select(*pair("key", "leader")).distinct(), "pairs")
-    compared, links, leaders = pairs, written(_links(pairs, sets), "links"), 1
-    done = members.select("bucket", F.col("leader").alias("key")).distinct()
-    while True:
-        labels = components(links)
-        leaders *= _LEADERS
-        named = members.join(labels, "key", "left").select(
-            "bucket", "key", "leader", F.coalesce("class", "key").alias("class")
-        )
-        main = named.where("key = leader").select("bucket", F.col("class").alias("main"))
-        # buckets of more than one class, and in them the texts outside the first leader's class
-        named = written(named.join(main, "bucket"), "members")
-        outside = named.where("class != main").join(done, ["bucket", "key"], "left_anti")
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("key"), "key")
-        chosen = outside.withColumn("r", F.row_number().over(order)).where(F.col("r") <= leaders)
-        chosen = written(chosen.select("bucket", F.col("key").alias("by"), F.col("class").alias("by_class")), "leaders")
-        if chosen.isEmpty():
-            return labels
-        pairs = named.join(chosen, "bucket").where("class != by_class").select(*pair("key", "by")).distinct()
-        pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        done = done.union(chosen.select("bucket", F.col("by").alias("key")))
-        compared = compared.union(pairs)
-        links = links.union(written(_links(pairs, sets), "links"))
+    links = written(_linked_to_leader(groups, sets), "links")
+    labels = components(links)
+    named = groups.join(labels, "key", "left").select("leader", "key", F.coalesce("class", "key").alias("class"))
+    more = written(_links_of_outsiders(written(named, "named"), sets), "links")
+    if more.isEmpty():
+        return labels
+    return components(links.union(more))
 
 
 def _classified(documents: DataFrame) -> DataFrame:
