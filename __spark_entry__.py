@@ -35,7 +35,7 @@ from linkloom.plans import jobs
 from linkloom.sinks.crawl_graph import write_crawl_graph
 from linkloom.sinks.tsv import write_tsv
 from linkloom.sources.crawl_metadata import read_crawl_metadata
-from linkloom.sources.files import text_lines, whole_files
+from linkloom.sources.files import file_chunks, text_lines, whole_files
 from linkloom.sources.warc import read_warc
 
 # A size limit that some of the given pages exceed; the real one is above all of them.
@@ -76,7 +76,10 @@ def q_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_link_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_outcomes(q_links(spark, sf_dir))
+    """With some pages that have no content."""
+    pages = _with_script_links(_pages(spark, sf_dir))
+    pages = pages.withColumn("html", F.when(F.col("page_id") % 5 != 2, F.col("html")))
+    return link_outcomes(links(pages_from_table(pages)))
 
 
 def _with_bad_pages(pages: DataFrame) -> DataFrame:
@@ -139,7 +142,14 @@ def q_full_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_totals(whole_files(spark, f"{sf_dir}/*.parquet"), "content")
+    """The bytes of all documents in text files, read whole and in pieces."""
+    path = derive.scratch_path(spark, "text")
+    paths = derive.write_text(_documents(spark, sf_dir), path)
+    pieces = scan_totals(file_chunks(spark, paths, 1 << 16), "content")
+    whole = scan_totals(whole_files(spark, paths), "content")
+    return pieces.select(F.col("n_bytes").alias("piece_bytes")).crossJoin(
+        whole.select(F.col("n_bytes").alias("file_bytes"))
+    )
 
 
 def q_custom_page_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +169,12 @@ def q_edges_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def q_edges_tsv_16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = derive.scratch_path(spark, "edges")
+    write_tsv(q_edges(spark, sf_dir), path, key="src", partitions=16)
+    return spark.read.text(path)
+
+
 def q_vertices_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = derive.scratch_path(spark, "vertices")
     write_tsv(q_vertices(spark, sf_dir).sortWithinPartitions("id"), path)
@@ -218,9 +234,31 @@ def q_warc_page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_outcomes(pages_from_warc(records, max_bytes=PAGE_LIMIT))
 
 
+def q_warc_read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record in each file; some of them have no length."""
+    damaged = F.col("page_id") % 7 == 3
+    path = derive.scratch_path(spark, "warc")
+    paths = derive.write_warc(_pages(spark, sf_dir), path, 1, damaged=damaged)
+    return page_outcomes(pages_from_warc(read_warc(spark, paths, content=False)))
+
+
+def q_warc_corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_warc(spark, _warc(spark, sf_dir))
+    return corpus_totals(records, target="metadata['WARC-Target-URI']", content="content")
+
+
 def q_corpus_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _warc(spark, sf_dir)
-    return corpus_inventory(spark, paths, read_warc(spark, paths, content=False))
+    """Files in four folders; the number of files in each is Spark's choice."""
+
+    def write(path: str) -> str:
+        pages = _with_bad_pages(_pages(spark, sf_dir))
+        return derive.write_warc(pages, path, folder=F.col("page_id") % 4)
+
+    paths = _once(spark, sf_dir, "folders", write)
+    found = corpus_inventory(spark, paths, read_warc(spark, paths, content=False))
+    folder = F.regexp_extract("warc_file", "/folder=([0-9]+)/", 1).cast("long")
+    counts = ("records", "pages", "errors")
+    return found.groupBy(folder.alias("folder")).agg(*(F.sum(c).alias(c) for c in counts))
 
 
 def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +272,8 @@ def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("html-doc").alias("type"),
         F.expr(
             "transform(raw, r -> named_struct('type', if(length(r) < 7, 'img', 'a'),"
-            f" 'href', {decode_entities('r')}))"
+            " 'href', if(startswith(r, '/th'), 'javascript:', '') ||"
+            f" {decode_entities('r')}))"
         ).alias("links"),
     )
     document = F.struct(
@@ -248,7 +287,9 @@ def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(document)
     broken = F.endswith("source_url", F.lit("/"))
     return pages.select(
-        F.col("source_url").alias("url"),
+        F.when(F.contains("source_url", F.lit("//blog.")), F.concat(F.lit("no-"), "source_url"))
+        .otherwise(F.col("source_url"))
+        .alias("url"),
         F.when(broken, F.concat(F.lit("{\"disposition\": "), text)).otherwise(text).alias("json"),
     )
 
@@ -350,7 +391,7 @@ _HTTP = """'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html'
 _RECORDS = f"""SELECT 'response' AS record_type, '{derive.WARC_DATE}' AS warc_date,
   '<urn:page:' || page_id || '>' AS record_id,
   'application/http; msgtype=response' AS content_type,
-  CAST(strlen(content) AS INTEGER) AS content_length, url AS target_uri, content, page_id
+  CAST(strlen(content) AS BIGINT) AS content_length, url AS target_uri, content, page_id
 FROM (SELECT *, {_HTTP} AS content FROM pages)"""
 
 _META = f"""m AS (SELECT *,
@@ -359,9 +400,10 @@ _META = f"""m AS (SELECT *,
     contains(source_url, '#') AS typed,
     NOT contains(source_url, 'ref=') AS filled,
     ends_with(source_url, '/') AS broken,
+    contains(source_url, '//blog.') AS bad,
     strlen(html) AS size, {_ID("host || file")} AS id FROM p)"""
 _CC_PAGES = f"""{_PARTS}, {_META},
-v AS (SELECT *, NOT failed AND NOT undecided AS success FROM m WHERE NOT broken)"""
+v AS (SELECT *, NOT failed AND NOT undecided AS success FROM m WHERE NOT broken AND NOT bad)"""
 _CC_VERTICES = f"""WITH {_CC_PAGES}
 SELECT host || file AS url, id, success,
   CASE WHEN success AND filled THEN 'html-doc' END AS cc_content_type,
@@ -373,7 +415,8 @@ SELECT host || file AS url, id, success,
 FROM v"""
 _CC_EDGES = f"""WITH {_CC_PAGES},
 l AS (SELECT *, unnest({_HREFS("html")}) AS href FROM v WHERE success AND filled)
-SELECT id AS src, {_ID("host || href")} AS dst FROM l WHERE length(href) >= 7"""
+SELECT id AS src, {_ID("host || href")} AS dst FROM l WHERE length(href) >= 7
+  AND NOT starts_with(href, '/th')"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -388,7 +431,8 @@ _SQL = {
     "edges": _EDGES,
     "links": _LINKS,
     "link_outcomes": f"""SELECT CASE outcome WHEN 'OK' THEN 'LINKS' ELSE outcome END AS outcome,
-  count(*) AS n FROM ({_LINKS}) GROUP BY 1""",
+  count(*) AS n FROM ({_LINKS.replace("FROM pages", "FROM pages WHERE page_id % 5 <> 2")}) GROUP BY 1
+UNION ALL SELECT 'ERROR_PAYLOAD_PARSE', count(*) FROM pages WHERE page_id % 5 = 2""",
     "page_outcomes": _OUTCOMES.format(size="strlen(html)"),
     "corpus_totals": f"""SELECT count(*) AS records,
   CAST(coalesce(sum(len({_HREFS("html")})), 0) AS BIGINT) AS links
@@ -416,6 +460,17 @@ SELECT source, form, spec, url, {_ID("url")} AS id FROM u""",
   CAST(sum(strlen(html)) AS BIGINT) AS n_bytes
 FROM (SELECT html, {_BAD_URL} AS url FROM pages)
 WHERE url IS NOT NULL AND NOT starts_with(url, 'no-') GROUP BY 1""",
+    "file_scan": """SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS piece_bytes,
+  CAST(sum(strlen(text) + 1) AS BIGINT) AS file_bytes FROM documents""",
+    "corpus_inventory": f"""SELECT page_id % 4 AS folder, count(*) AS records,
+  CAST(count(*) FILTER (WHERE url IS NOT NULL AND NOT starts_with(url, 'no-')) AS BIGINT) AS pages,
+  CAST(count(*) FILTER (WHERE url IS NULL OR starts_with(url, 'no-')) AS BIGINT) AS errors
+FROM (SELECT page_id, {_BAD_URL} AS url FROM pages) GROUP BY 1""",
+    "warc_read_errors": """SELECT CASE WHEN page_id % 7 = 3 THEN 'ERROR_RECORD_READ' ELSE 'PAGES' END
+  AS outcome, count(*) AS n FROM pages GROUP BY 1""",
+    "warc_corpus_totals": f"""SELECT count(*) AS records,
+  CAST(coalesce(sum(len({_HREFS("html")})), 0) AS BIGINT) AS links FROM pages""",
+    "edges_tsv_16": f"SELECT src || chr(9) || dst AS value FROM ({_EDGES})",
     "edges_tsv": f"SELECT src || chr(9) || dst AS value FROM ({_EDGES})",
     "vertices_tsv": f"SELECT id || chr(9) || url AS value FROM ({_VERTICES})",
     "warc_scan": f"""SELECT record_type, warc_date, record_id, content_type, content_length,
@@ -432,7 +487,7 @@ FROM ({_RECORDS})""",
     "warc_edges": _EDGES,
     "warc_page_outcomes": _OUTCOMES.format(size=f"strlen({_HTTP})"),
     "cc_scan": f"""WITH {_PARTS}, {_META}
-SELECT source_url AS url,
+SELECT CASE WHEN bad THEN 'no-' || source_url ELSE source_url END AS url,
   CASE WHEN broken THEN NULL WHEN failed THEN 'FAILURE' WHEN NOT undecided THEN 'SUCCESS' END
     AS disposition,
   CASE WHEN failed AND NOT broken THEN 'timeout' END AS failure_reason,
@@ -443,7 +498,7 @@ FROM m""",
     "cc_vertices": _CC_VERTICES,
     "cc_edges": _CC_EDGES,
     "cc_outcomes": f"""WITH {_PARTS}, {_META}
-SELECT CASE WHEN broken THEN 'ERROR_JSON' ELSE 'OK' END AS outcome,
+SELECT CASE WHEN bad THEN 'ERROR_BAD_SOURCE_URL' WHEN broken THEN 'ERROR_JSON' ELSE 'OK' END AS outcome,
   NOT broken AND NOT failed AND NOT undecided AS success, count(*) AS n FROM m GROUP BY 1, 2""",
     "cc_graph_tsv": f"""SELECT 'edges.out' AS file, src || chr(9) || dst AS value FROM ({_CC_EDGES})
 UNION ALL SELECT 'vertexes.out', concat_ws(chr(9), url, id, success, coalesce(cc_content_type, 'null'),

@@ -25,10 +25,17 @@ def http_payload(html: Column) -> Column:
     )
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_WARC) -> str:
+def write_warc(
+    pages: DataFrame,
+    path: str,
+    records_per_file: int = RECORDS_PER_WARC,
+    folder: Column | None = None,
+    damaged: Column | None = None,
+) -> str:
     """Write ``page_id``, ``url``, ``html`` as gzipped WARC files; returns their glob.
 
-    A NULL url gives a record without a target.
+    A NULL url gives a record without a target, and a ``damaged`` record has no length.
+    With ``folder`` the files lie in folders ``folder=...``.
     """
     records = pages.withColumn("payload", http_payload(F.col("html")))
     number = F.col("page_id").cast("string")
@@ -41,18 +48,25 @@ def write_warc(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_
         F.concat(F.lit("WARC-Target-URI: "), F.col("url")),
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), number, F.lit(">")),
         F.lit("Content-Type: application/http; msgtype=response"),
-        F.concat(F.lit("Content-Length: "), F.octet_length("payload").cast("string")),
+        F.when(
+            ~(F.lit(False) if damaged is None else damaged),
+            F.concat(F.lit("Content-Length: "), F.octet_length("payload").cast("string")),
+        ),
         F.lit(""),
         F.col("payload"),
     )
-    (
-        records.select(record.alias("value"))
+    columns = [record.alias("value")] + ([] if folder is None else [folder.alias("folder")])
+    writer = (
+        records.select(columns)
         .write.option("compression", "gzip")
         .option("lineSep", "\r\n\r\n")
         .option("maxRecordsPerFile", records_per_file)
-        .text(path)
     )
-    return path + "/*.gz"
+    if folder is None:
+        writer.text(path)
+        return path + "/*.gz"
+    writer.partitionBy("folder").text(path)
+    return path + "/folder=*/*.gz"
 
 
 def write_sequence_file(metadata: DataFrame, path: str) -> str:

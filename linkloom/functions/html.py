@@ -68,7 +68,7 @@ _DECIMAL = f"lpad(hex(try_cast({_DIGITS} AS BIGINT)), 8, '0')"
 _HEX_DIGITS = r"regexp_extract(piece, r'\A&#[xX]0*+([0-9a-fA-F]{0,6}+)(?![0-9a-fA-F])', 1)"
 _HEX = f"lpad(nullif(upper({_HEX_DIGITS}), ''), 8, '0')"
 _NAME = r"regexp_extract(piece, r'\A&([a-zA-Z]++[0-9]*+(?:;|(?![0-9a-zA-Z=_-])))', 1)"
-_NAMED = f"element_at(from_json('{_ENTITIES}', 'map<string,string>'), {_NAME})"
+_NAMED = f"element_at(from_json('{_ENTITIES}', 'map<string,string>'), nullif({_NAME}, ''))"
 _DECODED_PIECE = rf"""CASE
     WHEN startswith(piece, '&amp;') THEN '&' || substr(piece, 6)
     WHEN piece RLIKE r'\A&#[0-9]'

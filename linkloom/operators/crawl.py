@@ -69,6 +69,8 @@ def crawl_pages(metadata: DataFrame) -> DataFrame:
         return F.when(F.col("success"), column)
 
     anchors = F.filter(page["content"]["links"], lambda link: link["type"] == _ANCHOR)
+    hrefs = if_success(F.transform(anchors, lambda link: link["href"]))
+    df = with_computed_once(df, "hrefs", hrefs)
     return df.select(
         "source_url",
         "base",
@@ -80,7 +82,7 @@ def crawl_pages(metadata: DataFrame) -> DataFrame:
         if_success(page["content_len"]).alias("http_content_length"),
         if_success(page["mime_type"]).alias("http_mime_type"),
         *(F.when(~F.col("success"), page[name]).alias(name) for name in _FAILURE_MEMBERS),
-        if_success(F.transform(anchors, lambda link: link["href"])).alias("hrefs"),
+        "hrefs",
         "outcome",
     )
 

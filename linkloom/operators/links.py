@@ -12,21 +12,24 @@ from linkloom.operators.pages import OK, unpivot_counters
 # The names of the counters.
 LINKS = "LINKS"
 BAD_DEST_URL = "ERROR_BAD_DEST_URL"
+NO_PAYLOAD = "ERROR_PAYLOAD_PARSE"
 
 
 def links(pages: DataFrame) -> DataFrame:
     """One row per link of every good page, in page order, repeats and self-links kept.
 
     ``src`` is the id of the page and ``dst`` that of the target; links whose target is
-    malformed have no ``url`` and ``dst``.  Every step is per row: nothing is shuffled,
+    malformed have no ``url`` and ``dst``.  A good page whose content is absent gives one row
+    with the outcome ``ERROR_PAYLOAD_PARSE`` and nothing but ``src``.  Every step is per row: nothing is shuffled,
     and only the page's id and URL parts travel with each link.
     """
+    absent = F.array(F.lit(None).cast("string"))
     found = pages.where(F.col("outcome") == OK).select(
         F.col("id").alias("src"),
         "base",
-        F.posexplode(href_attributes(F.col("content").cast("string"))).alias(
-            "position", "attribute"
-        ),
+        F.posexplode(
+            F.coalesce(href_attributes(F.col("content").cast("string")), absent)
+        ).alias("position", "attribute"),
     )
     found = found.select("src", "base", "position", href_value("attribute").alias("raw"))
     found = found.selectExpr("*", f"{decode_entities('raw')} AS href")
@@ -34,11 +37,14 @@ def links(pages: DataFrame) -> DataFrame:
     found = found.withColumn("url", url_text(F.col("parts")))
     return found.select(
         "src",
-        "position",
+        F.when(F.col("href").isNotNull(), F.col("position")).alias("position"),
         "href",
         "url",
         url_id(F.col("url")).alias("dst"),
-        F.when(F.col("url").isNull(), BAD_DEST_URL).otherwise(OK).alias("outcome"),
+        F.when(F.col("href").isNull(), NO_PAYLOAD)
+        .when(F.col("url").isNull(), BAD_DEST_URL)
+        .otherwise(OK)
+        .alias("outcome"),
     )
 
 
@@ -47,7 +53,7 @@ def link_outcomes(links: DataFrame) -> DataFrame:
     return unpivot_counters(
         links.agg(
             F.count_if(F.col("outcome") == OK).alias(LINKS),
-            F.count_if(F.col("outcome") == BAD_DEST_URL).alias(BAD_DEST_URL),
+            *(F.count_if(F.col("outcome") == name).alias(name) for name in (BAD_DEST_URL, NO_PAYLOAD)),
         )
     )
 

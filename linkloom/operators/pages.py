@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.urls import url_id, url_text, with_url_parts
 
-# The size limit for a page, and the names of the counters.
+# The size limit that a job may set for pages, and the names of the counters.
 MAX_PAGE_BYTES = 4 * 1024 * 1024
 PAGES = "PAGES"
 READ_ERROR = "ERROR_RECORD_READ"
@@ -31,15 +31,21 @@ def pages_from_table(
     url: str = "url",
     html: str = "html",
     keep: Sequence[str] = (),
-    max_bytes: int = MAX_PAGE_BYTES,
+    max_bytes: int | None = None,
+    length: str | None = None,
 ) -> DataFrame:
-    """Pages from any table that has a URL and a text or binary HTML column."""
+    """Pages from any table that has a URL and a text or binary HTML column.
+
+    With ``max_bytes`` larger pages are set aside; ``length`` names a column that has the
+    size in bytes, so that the HTML need not be read to measure it.
+    """
+    size = F.octet_length(html) if length is None else F.col(length)
     return _pages(
         df.select(
             *keep,
             F.col(url).alias("source_url"),
             F.col(html).alias("content"),
-            F.octet_length(html).alias("content_length"),
+            size.alias("content_length"),
             F.lit(None).cast("string").alias("read_error"),
         ),
         keep,
@@ -48,7 +54,7 @@ def pages_from_table(
 
 
 def pages_from_warc(
-    records: DataFrame, keep: Sequence[str] = (), max_bytes: int = MAX_PAGE_BYTES
+    records: DataFrame, keep: Sequence[str] = (), max_bytes: int | None = None
 ) -> DataFrame:
     """Pages from WARC records.  Records of every type count, as long as they have a target."""
     return _pages(
@@ -64,13 +70,14 @@ def pages_from_warc(
     )
 
 
-def _pages(df: DataFrame, keep: Sequence[str], max_bytes: int) -> DataFrame:
+def _pages(df: DataFrame, keep: Sequence[str], max_bytes: int | None) -> DataFrame:
     df = with_url_parts(df, "source_url", "base")
     df = df.withColumn("url", url_text(F.col("base")))
+    large = F.lit(False) if max_bytes is None else F.col("content_length") > max_bytes
     outcome = (
         F.when(F.col("read_error").isNotNull(), READ_ERROR)
         .when(F.col("source_url").isNull(), MISSING_TARGET)
-        .when(F.col("content_length") > max_bytes, TOO_LARGE)
+        .when(large, TOO_LARGE)
         .when(F.col("url").isNull(), BAD_SOURCE_URL)
         .otherwise(OK)
     )

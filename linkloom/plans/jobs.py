@@ -13,13 +13,13 @@ from linkloom.operators.crawl import crawl_pages
 from linkloom.operators.graph import edges, vertices
 from linkloom.operators.inventory import corpus_inventory
 from linkloom.operators.links import links
-from linkloom.operators.pages import MAX_PAGE_BYTES, pages_from_warc
+from linkloom.operators.pages import pages_from_warc
 from linkloom.operators.words import word_count
 from linkloom.session import build_session
 from linkloom.sinks.crawl_graph import write_crawl_graph
 from linkloom.sinks.tsv import full_scan, write_tsv
 from linkloom.sources.crawl_metadata import read_crawl_metadata
-from linkloom.sources.files import text_lines, whole_files
+from linkloom.sources.files import file_chunks, text_lines
 from linkloom.sources.warc import read_warc
 
 
@@ -28,10 +28,12 @@ def warc_vertices(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return vertices(pages_from_warc(read_warc(spark, paths, content=False)))
 
 
-def warc_edges(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The edge table of WARC files.  Content of pages that are too large is passed over."""
-    records = read_warc(spark, paths, max_content_bytes=MAX_PAGE_BYTES)
-    return edges(links(pages_from_warc(records)))
+def warc_edges(
+    spark: SparkSession, paths: str | list[str], max_bytes: int | None = None
+) -> DataFrame:
+    """The edge table of WARC files.  Pages over ``max_bytes``, if given, are passed over."""
+    records = read_warc(spark, paths, max_content_bytes=max_bytes)
+    return edges(links(pages_from_warc(records, max_bytes=max_bytes)))
 
 
 def write_warc_vertices(
@@ -60,7 +62,7 @@ def write_word_count(spark: SparkSession, paths: str | list[str], out: str) -> N
 
 
 def scan_files(spark: SparkSession, paths: str | list[str]) -> None:
-    full_scan(whole_files(spark, paths).select("content"))
+    full_scan(file_chunks(spark, paths).select("content"))
 
 
 def write_inventory(spark: SparkSession, paths: str | list[str], out: str) -> None:

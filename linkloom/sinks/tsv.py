@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_NUMBER = "_number"
+
+
 def tsv_line(columns: Sequence[str]) -> Column:
     """The fields joined by tabs: no quoting, booleans as true/false, NULL as ``null``."""
     fields = (F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns)
@@ -18,15 +21,14 @@ def keyed(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Rows brought together by ``key`` and sorted by it inside each partition.
 
     By default the number and size of partitions follow the data at run time: small ones
-    are merged, and one that is swollen by a frequent key is divided.  With
-    ``partitions`` the layout is a plain hash of the key over that many partitions, for
-    readers that rely on it.
+    are merged, and one that is swollen by a frequent key is divided.  With ``partitions``
+    there are so many ranges of keys of about the same size; a frequent key takes several.
     """
     if partitions is None:
-        spread = df.hint("rebalance", key)
-    else:
-        spread = df.repartition(partitions, key)
-    return spread.sortWithinPartitions(key)
+        return df.hint("rebalance", key).sortWithinPartitions(key)
+    numbered = df.withColumn(_NUMBER, F.monotonically_increasing_id())
+    spread = numbered.repartitionByRange(partitions, key, _NUMBER)
+    return spread.sortWithinPartitions(key).drop(_NUMBER)
 
 
 def write_tsv(

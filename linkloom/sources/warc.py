@@ -8,6 +8,7 @@ bounded size, so memory does not depend on the size of a file.
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -21,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 RECORD_SCHEMA = (
     "warc_file STRING, record_no BIGINT, record_type STRING, warc_date STRING, "
-    "record_id STRING, content_type STRING, content_length INT, "
-    "metadata MAP<STRING,STRING>, content BINARY, read_error STRING"
+    "record_id STRING, content_type STRING, content_length BIGINT, "
+    "metadata MAP<STRING,STRING>, content BINARY, content_error STRING, read_error STRING"
 )
 _ARROW_SCHEMA = pa.schema(
     [
@@ -32,15 +33,16 @@ _ARROW_SCHEMA = pa.schema(
         ("warc_date", pa.string()),
         ("record_id", pa.string()),
         ("content_type", pa.string()),
-        ("content_length", pa.int32()),
+        ("content_length", pa.int64()),
         ("metadata", pa.map_(pa.string(), pa.string())),
         ("content", pa.binary()),
+        ("content_error", pa.string()),
         ("read_error", pa.string()),
     ]
 )
 
 # The line that opens a record, and the headers that have a column.
-_MARK = b"WARC/1.0"
+_MARK = re.compile(rb"WARC/[0-9]+\.[0-9]")
 _COLUMN_OF_HEADER = {
     "WARC-Type": "record_type",
     "WARC-Date": "warc_date",
@@ -55,8 +57,9 @@ _BLANK_BYTES = bytes(range(0x21))
 _CHUNK = 1 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_RECORDS = 10_000
-_MAX_HEADER_BYTES = 64 << 20
-_MAX_CONTENT_BYTES = (1 << 31) - 1
+#: Arrow and Spark hold no more than 2 GiB in one value.
+_MAX_ROW_BYTES = (1 << 31) - (1 << 20)
+_MAX_LENGTH = (1 << 63) - 1
 
 
 # Tasks get this module with the job, so workers need no copy of the package.
@@ -81,9 +84,11 @@ def read_warc(
 
     ``content=False`` leaves ``content`` NULL and reads past the bytes, for jobs that
     only need headers; ``max_content_bytes`` does so for larger records alone.
-    ``content_length`` is set either way.
+    ``content_length`` is set either way.  A record of 2 GiB or more, which no row can
+    hold, is read past as well, and ``content_error`` says why its content is missing.
     """
-    limit = max_content_bytes if content else -1
+    limit = _MAX_ROW_BYTES if max_content_bytes is None else min(max_content_bytes, _MAX_ROW_BYTES)
+    limit = limit if content else -1
     files = spark.read.format("binaryFile").load(paths).select("path")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +99,7 @@ def read_warc(
     return files.mapInArrow(read, RECORD_SCHEMA)
 
 
-def _read_file(path: str, limit: int | None) -> Iterator[pa.RecordBatch]:
+def _read_file(path: str, limit: int) -> Iterator[pa.RecordBatch]:
     rows: list[dict] = []
     size = 0
     number = 0
@@ -109,11 +114,12 @@ def _read_file(path: str, limit: int | None) -> Iterator[pa.RecordBatch]:
             if row is None:
                 break
             row.update(warc_file=path, record_no=number)
-            rows.append(row)
-            size += len(row.get("content") or b"")
-            if size >= _BATCH_BYTES or len(rows) >= _BATCH_RECORDS:
+            own = len(row.get("content") or b"") + row.pop("header_bytes", 0)
+            if rows and (size + own > _BATCH_BYTES or len(rows) == _BATCH_RECORDS):
                 yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
                 rows, size = [], 0
+            rows.append(row)
+            size += own
             if "read_error" in row:
                 break
     if rows:
@@ -135,7 +141,7 @@ class _Unpacked(RawIOBase):
         return len(data)
 
 
-def _open(path: str) -> BufferedReader:
+def _open(path: str, unpack: bool = True) -> BufferedReader:
     # Imported here: only tasks open files.
     from pyarrow import fs
 
@@ -147,29 +153,37 @@ def _open(path: str) -> BufferedReader:
         # Spark gives paths as they are; in a URI some characters need escaping.
         filesystem, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
     raw = filesystem.open_input_stream(name, compression=None, buffer_size=_CHUNK)
-    unpacked = _Unpacked(GzipFile(fileobj=raw)) if name.endswith(".gz") else raw
+    unpacked = _Unpacked(GzipFile(fileobj=raw)) if unpack and name.endswith(".gz") else raw
     return BufferedReader(unpacked, _CHUNK)
 
 
-def _records(stream, limit: int | None) -> Iterator[dict]:
+def _records(stream, limit: int) -> Iterator[dict]:
+    if not stream.peek(1):
+        return
+    found = False
     while _find_mark(stream):
+        found = True
         row, length = _header(stream)
         row["content_length"] = length
-        if limit is None or length <= limit:
+        if length <= limit:
             row["content"] = stream.read(length)
             missing = length - len(row["content"])
         else:
             missing = length - _skip(stream, length)
+            if length > _MAX_ROW_BYTES:
+                row["content_error"] = f"{length} bytes do not fit into a row"
         if missing:
             raise _FramingError(f"{missing} bytes of content are missing")
         yield row
+    if not found:
+        raise _FramingError("no record in the file")
 
 
 def _find_mark(stream) -> bool:
     """Read on to the line that opens the next record; False at the end of the file."""
     at_line_start = True
     while line := stream.readline(_CHUNK):
-        if at_line_start and line.startswith(_MARK):
+        if at_line_start and _MARK.match(line):
             while not line.endswith(b"\n"):
                 line = stream.readline(_CHUNK)
                 if not line:
@@ -183,7 +197,9 @@ def _header(stream) -> tuple[dict, int]:
     row: dict = {}
     metadata: dict[str, str] = {}
     length = None
+    row["header_bytes"] = 0
     for line in _header_lines(stream):
+        row["header_bytes"] += len(line)
         name, colon, value = line.partition(":")
         if length is None and colon and name.lower().startswith(_LENGTH_PREFIX):
             length = value.strip(_BLANKS)
@@ -195,23 +211,19 @@ def _header(stream) -> tuple[dict, int]:
             metadata[name] = value.strip(_BLANKS)
     row["metadata"] = list(metadata.items())
     digits = (length or "").removeprefix("+")
-    if not (digits.isascii() and digits.isdigit()) or int(digits) > _MAX_CONTENT_BYTES:
+    if not (digits.isascii() and digits.isdigit()) or int(digits) > _MAX_LENGTH:
         raise _FramingError(f"no usable {_LENGTH_HEADER}: {length}")
     return row, int(digits)
 
 
-def _header_lines(stream) -> list[str]:
+def _header_lines(stream) -> Iterator[str]:
     """The lines up to the blank one, which is read as well."""
-    lines = []
-    size = 0
-    while (line := stream.readline(_MAX_HEADER_BYTES)).strip(_BLANK_BYTES):
-        size += len(line)
-        if size > _MAX_HEADER_BYTES:
-            raise _FramingError("a header does not end")
-        lines.append(line)
+    while (line := stream.readline()).strip(_BLANK_BYTES):
+        if not line.endswith(b"\n"):
+            break
+        yield line[:-1].decode("utf-8", "replace")
     if not line.endswith(b"\n"):
         raise _FramingError("the file ends inside a header")
-    return b"".join(lines).decode("utf-8", "replace").split("\n")[:-1]
 
 
 def _skip(stream, length: int) -> int:

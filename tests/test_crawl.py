@@ -149,3 +149,10 @@ def test_sequence_files_and_both_text_tables(spark, tmp_path):
     ]
     assert lines("edges.out") == sorted(f"{r.src}\t{r.dst}" for r in crawl_edges(pages).collect())
     assert len(lines("edges.out")) == 2
+
+
+def test_metadata_stays_in_the_jvm(spark, tmp_path):
+    rows = spark.createDataFrame([("http://h/p", json.dumps(GOOD))], "url string, json string")
+    found = read_crawl_metadata(spark, derive.write_sequence_file(rows, str(tmp_path / "seq")))
+    assert [tuple(r) for r in found.collect()] == [("http://h/p", json.dumps(GOOD))]
+    assert "PythonRDD" not in found._jdf.queryExecution().toRdd().toDebugString()

@@ -59,7 +59,7 @@ def test_counters_add_up(spark, rows):
     assert counted["PAGES"] == good + counted["ERROR_BAD_SOURCE_URL"]
     found = links(pages)
     of_links = dict(rows(link_outcomes(found)))
-    assert of_links == {"LINKS": 5, "ERROR_BAD_DEST_URL": 2}
+    assert of_links == {"LINKS": 5, "ERROR_BAD_DEST_URL": 2, "ERROR_PAYLOAD_PARSE": 1}
     assert sum(of_links.values()) == found.count()
 
 
@@ -83,3 +83,17 @@ def test_a_page_job_of_ones_own(spark, rows):
 
     found = pages_from_table(table(spark)).transform(by_protocol)
     assert rows(found) == [("http", 3), ("https", 1)]
+
+
+def test_vertices_read_no_html(spark):
+    found = vertices(pages_from_table(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<url:string>" in plan
+
+
+def test_a_stored_length_stands_for_the_html(spark, rows):
+    large = "<a href='/x'>" + "x" * (5 << 20)
+    df = spark.createDataFrame([("http://h/a", large, 9), ("http://h/b", "<a href='/y'>", 7)], "url string, html string, n long")
+    assert edges(links(pages_from_table(df))).count() == 2
+    assert edges(links(pages_from_table(df, max_bytes=1000))).count() == 1
+    assert edges(links(pages_from_table(df, max_bytes=8, length="n"))).count() == 1

@@ -6,8 +6,9 @@ import pytest
 from linkloom.operators.graph import edges, vertices
 from linkloom.operators.headers import warc_body, warc_headers
 from linkloom.operators.inventory import corpus_inventory
-from linkloom.operators.links import corpus_totals, links
+from linkloom.operators.links import corpus_totals, link_outcomes, links
 from linkloom.operators.pages import page_outcomes, pages_from_table, pages_from_warc
+from linkloom.plans import jobs
 from linkloom.sources import warc
 from linkloom.sources.warc import read_warc
 
@@ -94,7 +95,7 @@ def test_several_gzip_members(spark, tmp_path):
     assert [r.record_no for r in rows] == list(range(1, 51))
 
 
-@pytest.mark.parametrize("length", ["", "abc", "-1", "2147483648", "1_0", "٣"])
+@pytest.mark.parametrize("length", ["", "abc", "-1", "9223372036854775808", "1_0", "٣"])
 def test_a_bad_length_ends_the_file(read, length):
     rows = read(record(b"a") + record(b"b", length=length) + record(b"c"))
     assert contents(rows) == [b"a", None]
@@ -134,9 +135,44 @@ def test_content_can_be_left_out(read):
 def test_batches_are_bounded_by_bytes(tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "_BATCH_BYTES", 1000)
     path = tmp_path / "a.warc"
-    path.write_bytes(record(b"x" * 300) * 10)
-    sizes = [batch.num_rows for batch in warc._read_file(f"file:{path}", None)]
-    assert sizes == [4, 4, 2]
+    path.write_bytes(record(b"x" * 300) * 9 + record(b"y" * 5000) + record(b"z"))
+    batches = [batch.column("content").to_pylist() for batch in warc._read_file(f"file:{path}", 1 << 20)]
+    assert sum(map(len, batches)) == 11
+    for batch in batches:
+        assert len(batch) == 1 or sum(map(len, batch)) <= 1000
+    assert [b"y" * 5000] in batches
+
+
+def test_a_record_too_large_for_a_row_is_passed_over(spark, rows, tmp_path):
+    path = tmp_path / "large.warc"
+    size = (1 << 31) + 5
+    with path.open("wb") as file:
+        file.write(record(b"first"))
+        file.write(record(b"", target="http://h/large", length=str(size))[:-4])
+        file.seek(size, 1)
+        file.write(b"\r\n\r\n" + record(b'<a href="/good">', target="http://h/after"))
+    found = read_warc(spark, str(path)).orderBy("record_no").collect()
+    assert [r.content_length for r in found] == [5, size, 16]
+    assert [r.content is None for r in found] == [False, True, False]
+    assert [r.content_error is None for r in found] == [True, False, True]
+    assert [r.read_error for r in found] == [None] * 3
+    assert rows(jobs.warc_vertices(spark, str(path)), "url") == [("h/after",), ("h/large",), ("h/x",)]
+    assert jobs.warc_edges(spark, str(path)).count() == 1
+    outcomes = dict(rows(link_outcomes(links(pages_from_warc(read_warc(spark, str(path)))))))
+    assert outcomes == {"LINKS": 1, "ERROR_PAYLOAD_PARSE": 1}
+
+
+def test_a_long_header_loses_nothing(read):
+    long = record(b"b", extra=["X-Long: " + "h" * (65 << 20)])
+    rows = read(record(b"a") + long + record(b"c"))
+    assert contents(rows) == [b"a", b"b", b"c"]
+
+
+def test_other_versions_and_files_without_records(read):
+    rows = read(record(b"a").replace(b"WARC/1.0", b"WARC/1.1") + record(b"b"), "v.warc")
+    assert contents(rows) == [b"a", b"b"]
+    (row,) = read(b"HTTP/1.1 200 OK\r\n\r\nno archive", "n.warc")
+    assert row.read_error is not None
 
 
 def test_globs(spark, tmp_path):
@@ -178,7 +214,9 @@ def test_page_outcomes_and_the_size_limit(spark, rows, tmp_path):
     ]
     for options in ({}, {"content": False}, {"max_content_bytes": limit}):
         records = read_warc(spark, path, **options)
-        assert rows(page_outcomes(pages_from_warc(records))) == expected
+        assert rows(page_outcomes(pages_from_warc(records, max_bytes=limit))) == expected
+    unlimited = dict(rows(page_outcomes(pages_from_warc(read_warc(spark, path)))))
+    assert unlimited["PAGES"] == 5 and "ERROR_PAGE_TOO_LARGE" not in unlimited
     pages = pages_from_warc(read_warc(spark, path))
     assert rows(vertices(pages), "url") == [("h/info",), ("h/x",)]
 
@@ -187,6 +225,7 @@ def test_inventory_lists_every_file(spark, rows, tmp_path):
     (tmp_path / "a.warc").write_bytes(record(b"1") + record(b"2", target=None))
     (tmp_path / "b.warc").write_bytes(b"no record\n")
     (tmp_path / "c.warc").write_bytes(record(b"1") + record(b"2", length="?"))
+    (tmp_path / "d.warc").write_bytes(b"")
     paths = f"{tmp_path}/*.warc"
     found = corpus_inventory(spark, paths, read_warc(spark, paths, content=False))
     summary = [
@@ -196,8 +235,9 @@ def test_inventory_lists_every_file(spark, rows, tmp_path):
     sizes = [(tmp_path / n).stat().st_size for n in ("a.warc", "b.warc", "c.warc")]
     assert summary == [
         ("a.warc", sizes[0], 2, 1, 1),
-        ("b.warc", sizes[1], 0, 0, 0),
+        ("b.warc", sizes[1], 0, 0, 1),
         ("c.warc", sizes[2], 1, 1, 1),
+        ("d.warc", 0, 0, 0, 0),
     ]
 
 
