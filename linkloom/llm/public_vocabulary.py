@@ -43,14 +43,22 @@ class _Library:
         n = int(joins.sum())
         ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for first in range(0, n, _JOINED):
-            flat, each = self._together([segments[i] for i in order[first : min(n, first + _JOINED)].tolist()])
+            some = [segments[i] for i in order[first : min(n, first + _JOINED)].tolist()]
+            try:
+                flat, each = self._together(some)
+            except UnicodeDecodeError:
+                flat, each = self._alone(some)
             ids.append(flat)
             counts.append(each)
-        texts = [segments[i].decode("utf-8", "replace") for i in order[n:].tolist()]
-        for coded in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids.append(np.array(coded.ids, np.uint32))
-            counts.append(np.array([len(ids[-1])]))
-        return order, np.concatenate(ids), np.concatenate(counts)
+        flat, each = self._alone([segments[i] for i in order[n:].tolist()])
+        return order, np.concatenate([*ids, flat]), np.concatenate([*counts, each])
+
+    def _alone(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes that are not UTF-8 count as U+FFFD."""
+        texts = [s.decode("utf-8", "replace") for s in segments]
+        found = [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.array([i for ids in found for i in ids], np.uint32)
+        return flat, np.array([len(ids) for ids in found], np.int64)
 
     def _together(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         text = b"".join(segments).decode()

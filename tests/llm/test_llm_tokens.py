@@ -46,6 +46,12 @@ def test_segments_give_the_ids_of_whole_texts(path):
     assert found == [encode(t) + [0] for t in texts]
 
 
+def test_bytes_that_are_not_utf8():
+    flat, counts = token_ids(BYTES).ids(pa.array([b"good text b\xffd here", b"good"], pa.binary()))
+    want = [library(BYTES)(t) for t in ("good text b\ufffdd here", "good")]
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == want
+
+
 def test_segment_store_forgets_rare_segments(monkeypatch):
     from linkloom.llm import segments
     from linkloom.llm.public_vocabulary import _Library
