@@ -37,6 +37,8 @@ ROWS = 4
 COMPONENTS = BANDS * ROWS
 #: Texts of a block, and bytes of their shingles, at most (but one text at least).
 _BLOCK, _BLOCK_BYTES = 256, 2 << 20
+#: Ids and keys of so many texts, some 40 MB, may go to every executor; more are shuffled.
+_SENT_ROWS = 1_000_000
 _NO_TEXT = b""
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
@@ -135,6 +137,12 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, key binary, buckets array<long>")
 
 
+def _sent_if_small(ids: DataFrame) -> DataFrame:
+    """Files of numbers and keys, to be broadcast if they have few rows; texts then stay in place."""
+    fixed = all(f.dataType.simpleString() in ("int", "bigint") or f.name == "key" for f in ids.schema.fields)
+    return F.broadcast(ids) if fixed and ids.count() <= _SENT_ROWS else ids
+
+
 def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """``key, shingles`` of the texts whose ``rep`` and ``key`` are wanted."""
 
@@ -228,10 +236,17 @@ def block_links(outside: dict, members: dict) -> list[tuple[bytes, bytes]]:
     return found
 
 
-def _links_of_outsiders(named: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b``: links that groups have besides those to their leader."""
-    mains = named.where("key = leader").select("leader", F.col("class").alias("main"))
-    marked = named.join(mains, "leader").withColumn("outside", F.col("class") != F.col("main"))
+def _links_of_outsiders(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: links that groups have besides those to their leader.
+
+    Texts linked to the leader count as its class here, all others as classes of their own.
+    """
+    linked = links.select(F.col("a").alias("leader"), F.col("b").alias("key"), F.lit(True).alias("linked"))
+    inside = F.coalesce("linked", F.col("key") == F.col("leader"))
+    marked = groups.join(linked, ["leader", "key"], "left").select(
+        "leader", "key", F.when(inside, F.col("leader")).otherwise(F.col("key")).alias("class"), (~inside).alias("outside")
+    )
+    marked = written(marked, "marked")
     open_groups = marked.where("outside").select("leader").distinct()
     marked = written(marked.join(open_groups, "leader", "left_semi").select("leader", "key", "class", "outside"), "open")
     full = marked.join(sets, "key")
@@ -288,13 +303,10 @@ def _classes(documents: DataFrame, prints: DataFrame) -> DataFrame:
     groups = ranked.join(leaders, "bucket").select(F.col("leader.key").alias("leader"), F.col("text.key").alias("key"))
     groups = written(groups.distinct(), "groups")
     wanted = texts.select("key", "rep").join(company.select("key"), "key", "left_semi")
+    wanted = _sent_if_small(written(wanted, "wanted"))
     sets = written(_shingle_sets(documents, wanted), "shingles")
     links = written(_linked_to_leader(groups, sets), "links")
-    labels = components(links)
-    named = groups.join(labels, "key", "left").select("leader", "key", F.coalesce("class", "key").alias("class"))
-    more = written(_links_of_outsiders(written(named, "named"), sets), "links")
-    if more.isEmpty():
-        return labels
+    more = written(_links_of_outsiders(groups, links, sets), "links")
     return components(links.union(more))
 
 
@@ -331,6 +343,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """
     found = written(_classified(documents), "named")
     gone = found.where("class_id IS DISTINCT FROM doc_id").select(F.col("doc_id").alias("_gone_")).distinct()
+    gone = _sent_if_small(written(gone, "gone"))
     used = ("doc_id", "text")
     kept = shielded(documents, used).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_")), "left_anti")
     repeated = found.where(F.col("key") != F.lit(_NO_TEXT)).groupBy("doc_id", "key").count().where("count > 1")
