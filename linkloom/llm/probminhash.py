@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from linkloom.llm.segments import slices, text_bytes
 from linkloom.llm.shield import shielded, unshielded
@@ -310,20 +311,25 @@ def _classes(documents: DataFrame, prints: DataFrame) -> DataFrame:
     return components(links.union(more))
 
 
-def _classified(documents: DataFrame) -> DataFrame:
-    """``doc_id, key, class_id``: one row for each document."""
+def _named(documents: DataFrame) -> DataFrame:
+    """``doc_id, key, class``: one row for each document."""
     prints = written(fingerprints(documents), "fingerprints")
     labels = _classes(documents, prints)
     named = prints.select("doc_id", "key").join(labels, "key", "left").select(
         "doc_id", "key", F.coalesce("class", "key").alias("class")
     )
-    named = written(named, "named")
+    return written(named, "named")
+
+
+def _classified(documents: DataFrame) -> DataFrame:
+    """``doc_id, class_id``: one row for each document."""
+    named = _named(documents)
     smallest = named.where(F.col("class") != F.lit(_NO_TEXT)).groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("n")
     )
     smallest = smallest.where("n > 1").drop("n")
     return named.join(smallest, "class", "left").select(
-        "doc_id", "key", F.coalesce("class_id", "doc_id").alias("class_id")
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
     )
 
 
@@ -333,23 +339,58 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     A text without words is alone in its class.  Rows that repeat a ``doc_id`` each give a
     row.  A NULL ``doc_id`` is never a ``class_id`` while its class has another.
     """
-    return _classified(documents).select("doc_id", "class_id")
+    return _classified(documents)
+
+
+@F.arrow_udf(BinaryType())
+def _key(texts: pa.Array) -> pa.Array:
+    """The key that ``fingerprints`` gives to each text."""
+    words, counts = _words(texts)
+    parts = np.split(words, np.cumsum(counts)[:-1]) if len(counts) else []
+    return pa.array([xxhash.xxh3_128_digest(p.tobytes()) if len(p) else _NO_TEXT for p in parts], pa.binary())
+
+
+def _first_or_not(named: DataFrame) -> DataFrame:
+    """``doc_id, key, first``: whether the row has the id and words that its class keeps.
+
+    NULL for rows that are alone in their class, and for texts without words.
+    """
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    firsts = named.where(F.col("key") != F.lit(_NO_TEXT)).groupBy("class").agg(
+        F.min(own).alias("kept"), F.count("*").alias("n")
+    )
+    firsts = firsts.where("n > 1").drop("n")
+    first = F.when(F.col("kept").isNotNull(), own.eqNullSafe(F.col("kept")))
+    return named.join(firsts, "class", "left").select("doc_id", "key", first.alias("first"))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each class, that with the smallest ``doc_id``, with all its columns.
 
-    Texts without words all stay.  Of rows that repeat a ``doc_id`` within a class one stays.
+    A NULL ``doc_id`` comes after all others; of different texts of the class with that
+    ``doc_id`` the one with the smallest key stays, of rows with the same words one.  Texts
+    without words all stay.  Rows with one ``doc_id`` whose fates differ are told apart by
+    their words.
     """
-    found = written(_classified(documents), "named")
-    gone = found.where("class_id IS DISTINCT FROM doc_id").select(F.col("doc_id").alias("_gone_")).distinct()
-    gone = _sent_if_small(written(gone, "gone"))
+    found = written(_first_or_not(_named(documents)), "named")
+    ids = found.groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("first")).alias("n_gone"), F.count_if("first").alias("n_first")
+    )
+    ids = written(ids.where("n_gone > 0 OR n_first > 1"), "ids")
+    gone = _sent_if_small(written(ids.where("n_gone = n").select(F.col("doc_id").alias("_gone_")), "gone"))
+    mixed = written(ids.where("n_gone < n AND n > 1").select(F.col("doc_id").alias("_mixed_")), "mixed")
     used = ("doc_id", "text")
     kept = shielded(documents, used).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_")), "left_anti")
-    repeated = found.where(F.col("key") != F.lit(_NO_TEXT)).groupBy("doc_id", "key").count().where("count > 1")
-    if not repeated.isEmpty():
-        words = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-        alone = kept.where(F.trim(words) == "")
-        kept = kept.where(F.trim(words) != "").withColumn("_words_", F.sha2(F.trim(words), 256))
-        kept = kept.dropDuplicates(["doc_id", "_words_"]).drop("_words_").unionByName(alone)
+    if not mixed.isEmpty():
+        of_mixed = F.col("doc_id").eqNullSafe(F.col("_mixed_"))
+        pairs = found.where("NOT first").join(mixed, of_mixed, "left_semi")
+        pairs = pairs.select(F.col("doc_id").alias("_gone_"), F.col("key").alias("_of_")).distinct()
+        pairs = written(pairs, "gone")
+        mixed = _sent_if_small(mixed)
+        rest = kept.join(mixed, of_mixed, "left_semi").withColumn("_key_", _key("text"))
+        rest = rest.join(pairs, F.col("doc_id").eqNullSafe(F.col("_gone_")) & (F.col("_key_") == F.col("_of_")), "left_anti")
+        alone = rest.where(F.col("_key_") == F.lit(_NO_TEXT))
+        rest = rest.where(F.col("_key_") != F.lit(_NO_TEXT)).dropDuplicates(["doc_id", "_key_"])
+        kept = kept.join(mixed, of_mixed, "left_anti")
+        kept = kept.unionByName(rest.unionByName(alone).drop("_key_"))
     return unshielded(kept, documents.columns, used)

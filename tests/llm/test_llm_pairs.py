@@ -134,6 +134,25 @@ def test_ids_that_repeat_with_other_texts(spark):
     assert sorted(r.text for r in pm.keep_one(rows).collect()) == [a, b]
 
 
+def test_one_id_with_several_fates(spark):
+    """Repeated and NULL ids: each row goes or stays by its own words."""
+    x, y, z = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    near = f"{z} more"
+
+    def kept(*rows):
+        table = spark.createDataFrame(list(rows), "doc_id long, text string")
+        return Counter(map(tuple, pm.keep_one(table).collect()))
+
+    assert kept((5, x), (1, x), (5, y)) == Counter([(1, x), (5, y)])
+    assert kept((5, x), (1, x), (5, y), (9, y), (5, y)) == Counter([(1, x), (5, y)])
+    assert kept((1, x), (None, x), (None, y), (None, ""), (None, None)) == Counter(
+        [(1, x), (None, y), (None, ""), (None, None)]
+    )
+    for rows in ([(None, z), (None, near)], [(3, z), (3, near)]):
+        found = kept(*rows, (None, y))
+        assert found[None, y] == 1 and sum(found.values()) == 2
+
+
 SCHEMA = "vec_id long, embedding array<float>, score string, rank string"
 
 
