@@ -7,7 +7,9 @@ Two texts agree in a component with the probability Jaccard similarity of their
 A process ends as soon as its time is later than the last first arrival so far.
 
 Texts with the same words are one *text* from the start.  Texts that agree in a band of
-``ROWS`` components share a bucket.  The leader of a bucket is its text with the most
+``ROWS`` components share a bucket.  Links are a matter of sets of shingles, so every text
+also has the bands of its sketch with all weights 1: texts of similarity 0.8 share none of
+those with a probability of 5e-8, however often either repeats a shingle.  The leader of a bucket is its text with the most
 company in all of its buckets: of copies that differ from each other, the original.  All
 texts of buckets with one leader are a *group*.  Each is compared with the leader, exactly,
 by the Jaccard similarity of the sets of shingles.  Groups in which some are not linked to
@@ -111,8 +113,21 @@ def signatures(shingles: np.ndarray, weights: np.ndarray, text: np.ndarray, n_te
     return who.reshape(n_texts, COMPONENTS)
 
 
+def _buckets(who: np.ndarray) -> np.ndarray:
+    """For each text and band a number of the shingles in the band's components."""
+    who = who.reshape(len(who), BANDS, ROWS)
+    bucket = np.broadcast_to(_mixed(np.arange(1, BANDS + 1, dtype=np.uint64)), who.shape[:2])
+    for i in range(ROWS):
+        bucket = _mixed(bucket * _GOLDEN + who[:, :, i])
+    return bucket
+
+
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """``doc_id``, a 16-byte ``key`` of the words (none without words) and its buckets."""
+    """``doc_id``, a 16-byte ``key`` of the words (none without words) and its buckets.
+
+    Buckets are those of the weighted sketch, and those of the sketch with all weights 1
+    where they differ.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -120,15 +135,22 @@ def fingerprints(documents: DataFrame) -> DataFrame:
             parts = np.split(words, np.cumsum(counts)[:-1]) if len(counts) else []
             found = [_shingles(p) for p in parts]
             text = np.repeat(np.arange(len(found)), [len(s) for s, _ in found])
-            who = signatures(
-                np.concatenate([s for s, _ in found]), np.concatenate([w for _, w in found]), text, len(found)
-            ).reshape(len(found), BANDS, ROWS)
-            bucket = np.broadcast_to(_mixed(np.arange(1, BANDS + 1, dtype=np.uint64)), who.shape[:2])
-            for i in range(ROWS):
-                bucket = _mixed(bucket * _GOLDEN + who[:, :, i])
+            shingles = np.concatenate([s for s, _ in found])
+            weights = np.concatenate([w for _, w in found])
+            bucket = _buckets(signatures(shingles, weights, text, len(found)))
+            buckets, kept = bucket, np.ones(bucket.shape, bool)
+            repeats = np.array([bool((w > 1).any()) for _, w in found], bool)
+            if repeats.any():  # the others have the same buckets with all weights 1
+                of = repeats[text]
+                number = np.cumsum(repeats) - 1
+                even = bucket.copy()
+                even[repeats] = _buckets(
+                    signatures(shingles[of], np.ones(int(of.sum()), np.int64), number[text[of]], int(repeats.sum()))
+                )
+                buckets, kept = np.hstack([bucket, even]), np.hstack([kept, even != bucket])
             keys = [xxhash.xxh3_128_digest(p.tobytes()) if len(p) else _NO_TEXT for p in parts]
-            flat = pa.array(np.ascontiguousarray(bucket).view(np.int64).ravel())
-            ends = pa.array(np.arange(0, len(found) * BANDS + 1, BANDS, dtype=np.int32))
+            flat = pa.array(buckets[kept].view(np.int64))
+            ends = pa.array(np.concatenate([[0], np.cumsum(kept.sum(1))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(ends, flat)],
                 ["doc_id", "key", "buckets"],

@@ -116,6 +116,19 @@ def test_chains_and_large_groups(spark):
     assert found == brute_classes(docs)
 
 
+def test_copies_that_repeat_a_line(spark):
+    """Near copies by sets of shingles that are far apart by counts of shingles."""
+    docs = []
+    for i in range(40):
+        text = " ".join(f"t{i}_{j}" for j in range(300))
+        line = " ".join(f"t{i}_{j}" for j in range(288, 300))
+        docs += [(2 * i, text), (2 * i + 1, f"{text} " + " ".join([line] * 50))]
+    assert probability_jaccard(*(shingles(t) for _, t in docs[:2])) < 0.4
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in pm.near_duplicates(rows).collect()}
+    assert found == brute_classes(docs) == {i: i - i % 2 for i, _ in docs}
+
+
 def test_odd_documents(odd_documents, no_documents):
     found = Counter(map(tuple, pm.near_duplicates(odd_documents).collect()))
     assert found[1, 1] == 2 and found[2, 1] == 1 and found[3, 3] == 1 and found[4, 4] == 1 and found[6, 6] == 1
