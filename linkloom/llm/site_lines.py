@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from linkloom.llm.shield import shielded, unshielded
 from linkloom.scratch import written
 
-#: A line goes if it is on more than this share of the pages, and on so many at least.
-RATIO = 0.1
+#: A line goes if it is on more than this share of the pages, and on so many at least.  In
+#: the given documents boilerplate is on 8.6 to 13.2% of a source's pages, other lines on
+#: 4.7% at most.
+RATIO = 0.06
 MIN_PAGES = 5
 _WORD = r"[^\x20\x09-\x0D]"
 

@@ -90,6 +90,15 @@ def test_site_lines(spark, odd_documents, no_documents):
     assert site_lines.drop_site_lines(no_documents).count() == 0
 
 
+def test_lines_on_a_smaller_share_of_a_large_site(spark):
+    """Boilerplate of 8% of the pages goes, a sentence of 4.5% stays."""
+    rows = [(i, f"unique {i}" + "\nfooter" * (i < 16) + "\nsaying" * (i >= 191), "a") for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.text for r in site_lines.drop_site_lines(table).collect()}
+    assert all(found[i] == f"unique {i}" for i in range(191))
+    assert all(found[i] == f"unique {i}\nsaying" for i in range(191, 200))
+
+
 def test_hosts_of_urls(spark):
     rows = [(i, f"http://h.example/{i}", f"p {i}\nmenu") for i in range(12)]
     table = spark.createDataFrame(rows, "page_id long, url string, text string")
