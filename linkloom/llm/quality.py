@@ -23,9 +23,10 @@ WINDOW = 5
 #: Documents that a group needs for fences of its own.
 MIN_DOCUMENTS = 100
 #: A fence lies so many spreads beyond the quartile; a spread is the distance of quartile
-#: and median, at least the second number.
+#: and median, at least the second number.  Of symbols most groups have no spread; what
+#: has more than two in a hundred letters is tables and code then, never good by `labels`.
 FENCE = 4
-MEASURES = {"word_length": 75, "symbols": 25, "duplicate_lines": 150, "capitals": 50}
+MEASURES = {"word_length": 75, "symbols": 5, "duplicate_lines": 150, "capitals": 50}
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:

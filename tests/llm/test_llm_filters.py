@@ -50,6 +50,14 @@ def test_fences_follow_the_group(spark):
     assert lost == {5000}
 
 
+def test_few_symbols_where_others_have_none(spark):
+    """Some 5% of symbols are out of place among texts without any, a single one is not."""
+    plain = " ".join(f"word{j} other{j * 7}" for j in range(20))
+    rows = [(i, plain, "en", "prose") for i in range(150)] + [(500, plain + " |" * 13, "en", "prose"), (501, plain + " #", "en", "prose")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in quality.quality_verdicts(table).where("NOT kept").collect()] == [500]
+
+
 def test_small_groups_use_their_language(spark):
     plain = " ".join(f"word{j} other{j * 7}" for j in range(20))
     rows = [(i, plain, "en", f"s{i}") for i in range(150)] + [(999, plain.replace(" ", " $$$$ "), "en", "s999")]
