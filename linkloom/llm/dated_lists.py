@@ -72,6 +72,7 @@ def url_entries(url: Column) -> Column:
 def judged(captures: DataFrame, changes: DataFrame, url: str = "url", fetched: str = "fetched_at") -> DataFrame:
     """Adds ``lists``, those with an active entry for the capture, ascending; else empty.
 
+    A column ``lists`` that the captures have already is replaced, and comes last.
     Every capture gives one row, repeated rows too.  A capture without a URL or a date, or
     whose URL has no host, is on no list.
     """

@@ -144,3 +144,12 @@ def test_odd_conversations(spark, monkeypatch):
     ids = [i for r in sorted(chunks, key=lambda r: (r.part, r.chunk)) for i in r.ids]
     assert tokenizer.encode(whole, add_special_tokens=False).ids == ids
     assert chat.conversation_digests(chat.format_conversations(table.limit(0), VOCABULARY)).count() == 0
+
+
+def test_a_column_lists_is_replaced(spark):
+    captures = spark.createDataFrame([("http://a.example/x", "2024-02-01", "old", 7)], "url string, fetched_at string, lists string, n int")
+    changes = spark.createDataFrame([("ads", "a.example", "add", "2024-01-01")], "list string, entry string, action string, at string")
+    found = dated_lists.judged(captures, changes)
+    assert found.columns == ["url", "fetched_at", "n", "lists"]
+    assert [(r.lists, r.n) for r in found.collect()] == [(["ads"], 7)]
+    assert "is replaced" in dated_lists.judged.__doc__
