@@ -155,4 +155,11 @@ def test_metadata_stays_in_the_jvm(spark, tmp_path):
     rows = spark.createDataFrame([("http://h/p", json.dumps(GOOD))], "url string, json string")
     found = read_crawl_metadata(spark, derive.write_sequence_file(rows, str(tmp_path / "seq")))
     assert [tuple(r) for r in found.collect()] == [("http://h/p", json.dumps(GOOD))]
-    assert "PythonRDD" not in found._jdf.queryExecution().toRdd().toDebugString()
+    classes, todo = set(), [found._jdf.queryExecution().toRdd()]
+    while todo:
+        rdd = todo.pop()
+        classes.add(rdd.getClass().getSimpleName())
+        deps = rdd.dependencies()
+        todo.extend(deps.apply(i).rdd() for i in range(deps.size()))
+    assert "HadoopRDD" in classes
+    assert not any("Python" in name for name in classes), classes
