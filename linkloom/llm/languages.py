@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.segments import slices
+from linkloom.llm.segments import released, slices
 from linkloom.llm.shield import shielded, unshielded
 
 DIMENSIONS = 512
@@ -28,7 +28,7 @@ N = 3
 _SEED = 20_000
 _BITS = 21
 #: N-grams whose vectors a worker keeps at most.
-_KEPT = 1 << 17
+_KEPT = 1 << 14
 UNKNOWN = "und"
 #: The pipeline rejects documents that are less like their language than this.
 LEAST_SCORE = 0.1
@@ -147,7 +147,7 @@ def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), bucket, vectors], ["lang", "bucket", "vector"])
 
     partial = labelled.where(F.col("lang").isNotNull()).select("lang", "text")
-    partial = partial.mapInArrow(rows, "lang string, bucket int, vector array<double>")
+    partial = partial.mapInArrow(released(rows, _vectors), "lang string, bucket int, vector array<double>")
     summed = _summed(_summed(partial, ["lang", "bucket"]).select("lang", "vector"), ["lang"])
     return {r["lang"]: np.array(r["vector"]) for r in summed.collect()}
 
@@ -178,7 +178,7 @@ def predict(documents: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*piece.schema.names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInArrow(rows, f"{schema}, lang_pred string, score double")
+    return documents.mapInArrow(released(rows, _vectors), f"{schema}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.public_vocabulary import token_ids
-from linkloom.llm.segments import slices
+from linkloom.llm.segments import released, slices
 from linkloom.scratch import written
 
 CAPACITY = 2048
@@ -212,7 +212,7 @@ def document_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPAC
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return documents.select("doc_id", "text").mapInArrow(rows, schema)
+    return documents.select("doc_id", "text").mapInArrow(released(rows, token_ids), schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -40,9 +40,11 @@ ROWS = 4
 COMPONENTS = BANDS * ROWS
 #: Texts of a block, and bytes of their shingles, at most (but one text at least).
 _BLOCK, _BLOCK_BYTES = 256, 2 << 20
-#: Ids and keys of so many texts, some 40 MB, may go to every executor; more are shuffled.
-_SENT_ROWS = 1_000_000
+#: Ids and keys of so many texts, some 4 MB, may go to every executor; more are shuffled.
+_SENT_ROWS = 100_000
 _NO_TEXT = b""
+#: Bytes of text hashed at once by a worker (but one text at least).
+_SLICE = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 _PLACES = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64) | 1 for i in range(SHINGLE)], np.uint64)
@@ -130,7 +132,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=_SLICE):
             words, counts = _words(piece.column("text"))
             parts = np.split(words, np.cumsum(counts)[:-1]) if len(counts) else []
             found = [_shingles(p) for p in parts]
@@ -170,7 +172,7 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """``key, shingles`` of the texts whose ``rep`` and ``key`` are wanted."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=_SLICE):
             words, counts = _words(piece.column("text"))
             keys, shingles = [], []
             for part, key in zip(np.split(words, np.cumsum(counts)[:-1]), piece.column("key").to_pylist(), strict=True):

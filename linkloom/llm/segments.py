@@ -7,6 +7,7 @@ that each different segment is encoded once and then found by hash.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,6 +54,23 @@ def slices(
             start = stop
 
 
+def released(rows: Callable, *caches) -> Callable:
+    """``rows`` for ``mapInArrow`` that empties the worker's ``caches`` when its task ends.
+
+    An idle worker then holds no store of an earlier stage while another stage runs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            for cache in caches:
+                cache.cache_clear()
+            gc.collect()
+
+    return run
+
+
 def segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All segments of all texts, and how many each text has."""
     data, offsets = text_bytes(texts)

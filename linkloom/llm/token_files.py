@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.public_vocabulary import token_ids
-from linkloom.llm.segments import slices
+from linkloom.llm.segments import released, slices
 
 LANES = 64
 STEPS = 1024
@@ -256,7 +256,7 @@ def write_token_files(documents: DataFrame, path: str, vocabulary: str) -> None:
             yield pa.RecordBatch.from_pylist([row], _ARROW)
 
     (
-        ordered.mapInArrow(rows, _SCHEMA)
+        ordered.mapInArrow(released(rows, token_ids), _SCHEMA)
         .write.option("compression", "uncompressed")
         .option("parquet.page.size.row.check.min", 1)
         .option("parquet.block.size.row.check.min", 1)
