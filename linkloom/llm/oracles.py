@@ -110,3 +110,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(chars) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id"""
 
 SQL = {"op6_chat_masks": _CHAT, "op1_pivot_search": _PIVOT, "op2_dated_lists": _LISTS, "op5_quality": _QUALITY, "op10_site_lines": _SITE_LINES}
+
+_LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format
+_DECONTAMINATION = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS(_LOWERED("text"))} AS w FROM documents),
+  b AS (SELECT item_id, {_WORDS(_LOWERED("text"))} AS w FROM benchmark),
+  win AS (SELECT item_id, array_to_string(w[i:i + 9], ' ') AS s, 10 AS l
+      FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS i FROM b WHERE len(w) >= 10)
+    UNION ALL SELECT item_id, array_to_string(w, ' '), len(w) FROM b WHERE len(w) BETWEEN 1 AND 9),
+  lens AS (SELECT DISTINCT l FROM win),
+  g AS (SELECT r, l, i, array_to_string(w[i:i + l - 1], ' ') AS s
+    FROM (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, lens WHERE len(w) >= l)),
+  hit AS (SELECT DISTINCT g.r, g.i, g.l, win.item_id FROM g JOIN win ON g.s = win.s AND g.l = win.l),
+  words_hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + l)) AS p FROM hit) GROUP BY r),
+  items AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (WHERE item_id IS NOT NULL)) AS ids
+    FROM hit GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words_hit USING (r) LEFT JOIN items USING (r)"""
+
+SQL["op12_decontamination"] = _DECONTAMINATION

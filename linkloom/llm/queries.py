@@ -12,6 +12,7 @@ from linkloom.llm import oracles
 from linkloom.llm.byte_pairs import round_trip_digests
 from linkloom.llm.chat import conversation_digests, format_conversations
 from linkloom.llm.dated_lists import judged
+from linkloom.llm.decontamination import contamination
 from linkloom.llm.languages import identify
 from linkloom.llm.packing import pack_documents
 from linkloom.llm.pivot_search import top_k, whole_vectors
@@ -104,7 +105,11 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_pivot_search, op2_dated_lists, op3_packing, op4_token_files, op5_quality, op6_chat_masks, op7_languages, op8_near_duplicates, op9_byte_bpe, op10_site_lines)
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_QUERIES = (op1_pivot_search, op2_dated_lists, op3_packing, op4_token_files, op5_quality, op6_chat_masks, op7_languages, op8_near_duplicates, op9_byte_bpe, op10_site_lines, op12_decontamination)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
