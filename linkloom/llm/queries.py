@@ -19,6 +19,7 @@ from linkloom.llm.pivot_search import top_k, whole_vectors
 from linkloom.llm.probminhash import near_duplicates
 from linkloom.llm.quality import quality_verdicts
 from linkloom.llm.site_lines import line_report
+from linkloom.llm.spelling import variants
 from linkloom.llm.whitening import whiten
 from linkloom.llm.token_files import token_file_index, write_token_files
 from linkloom.scratch import scratch_path, written
@@ -106,6 +107,10 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -114,7 +119,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
 
-_QUERIES = (op1_pivot_search, op2_dated_lists, op3_packing, op4_token_files, op5_quality, op6_chat_masks, op7_languages, op8_near_duplicates, op9_byte_bpe, op10_site_lines, op12_decontamination, op13_whitening)
+_QUERIES = (op1_pivot_search, op2_dated_lists, op3_packing, op4_token_files, op5_quality, op6_chat_masks, op7_languages, op8_near_duplicates, op9_byte_bpe, op10_site_lines, op11_spelling, op12_decontamination, op13_whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
