@@ -209,12 +209,13 @@ def whiten(embeddings: DataFrame, most: int = COMPONENTS, column: str = "embeddi
                 continue
             w = project(batch.column("x"))
             m = batch.num_rows
+            each = pa.array(np.repeat(np.arange(m), k))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(batch.column("vec_id").to_numpy(zero_copy_only=False), k)),
+                    batch.column("vec_id").take(each),
                     pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), m)),
                     pa.array(np.full(m * k, n, np.int64)),
-                    pa.array(np.repeat(batch.column("deviation").to_numpy(zero_copy_only=False), k)),
+                    batch.column("deviation").take(each),
                     pa.array(w.ravel()),
                     pa.array(np.tile(np.array(explained), m)),
                     pa.array(np.full(m * k, identity_error)),
