@@ -21,16 +21,16 @@ def _measure_rows() -> str:
 
 
 def _level(name: str, keys: str) -> str:
-    """Quartiles of the binned values for each group, straight from the sorted values."""
-    spread = "CASE measure " + " ".join(f"WHEN '{m}' THEN {s}" for m, s in quality.MEASURES.items()) + " END"
+    """Outer quantiles and median of the binned values for each group, and the fences beyond them."""
     by = f"{keys}, " if keys else ""
+    width = "(CAST(1 AS BIGINT) << greatest(length(bin({0})) - 5, 0)::INT)".format
     return f"""{name}_v AS (SELECT {by}measure, bin, row_number() OVER (PARTITION BY {by}measure ORDER BY bin) AS r,
     count(*) OVER (PARTITION BY {by}measure) AS n FROM binned),
-  {name}_q AS (SELECT {by}measure, max(n) AS n, min(CASE WHEN 4 * r >= n THEN bin END) AS q1,
-    min(CASE WHEN 4 * r >= 2 * n THEN bin END) AS q2, min(CASE WHEN 4 * r >= 3 * n THEN bin END) AS q3
+  {name}_q AS (SELECT {by}measure, max(n) AS n, min(CASE WHEN 100 * r >= {quality.OUTER} * n THEN bin END) AS lo,
+    min(CASE WHEN 100 * r >= 50 * n THEN bin END) AS mid, min(CASE WHEN 100 * r >= {100 - quality.OUTER} * n THEN bin END) AS hi
     FROM {name}_v GROUP BY {by}measure),
-  {name} AS (SELECT {by}measure, n, q1 - {quality.FENCE} * greatest(q2 - q1, {spread}) AS low,
-    q3 + {quality.FENCE} * greatest(q3 - q2, {spread}) AS high FROM {name}_q)"""
+  {name} AS (SELECT {by}measure, n, lo - greatest(mid - lo, {width("lo")}) AS low,
+    hi + greatest(hi - mid, {width("hi")}) AS high FROM {name}_q)"""
 
 
 _QUALITY = rf"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -59,9 +59,10 @@ _QUALITY = rf"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS te
     JOIN own ON m.measure = own.measure AND m.lang IS NOT DISTINCT FROM own.lang AND m.source IS NOT DISTINCT FROM own.source
     JOIN tongue ON m.measure = tongue.measure AND m.lang IS NOT DISTINCT FROM tongue.lang
     JOIN overall ON m.measure = overall.measure
-    WHERE NOT m.exact BETWEEN
-      CASE WHEN own.n >= {quality.MIN_DOCUMENTS} THEN own.low WHEN tongue.n >= {quality.MIN_DOCUMENTS} THEN tongue.low ELSE overall.low END
-      AND CASE WHEN own.n >= {quality.MIN_DOCUMENTS} THEN own.high WHEN tongue.n >= {quality.MIN_DOCUMENTS} THEN tongue.high ELSE overall.high END)
+    WHERE CAST(m.exact AS HUGEINT) * (own.n + {quality.PRIOR}) * (tongue.n + {quality.PRIOR})
+        > CAST(own.n AS HUGEINT) * own.high * (tongue.n + {quality.PRIOR}) + {quality.PRIOR} * (CAST(tongue.n AS HUGEINT) * tongue.high + {quality.PRIOR} * overall.high)
+      OR CAST(m.exact AS HUGEINT) * (own.n + {quality.PRIOR}) * (tongue.n + {quality.PRIOR})
+        < CAST(own.n AS HUGEINT) * own.low * (tongue.n + {quality.PRIOR}) + {quality.PRIOR} * (CAST(tongue.n AS HUGEINT) * tongue.low + {quality.PRIOR} * overall.low))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM base"""
 

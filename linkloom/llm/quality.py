@@ -2,9 +2,12 @@
 
 Every document gets a few whole-number measures.  A sketch of each measure is kept for
 each language and source: a histogram whose bins are exact below 32 and 1/16 wide above,
-so two sketches merge by adding counts and quantiles come from cumulated counts.  Fences
-around the quartiles replace fixed cutoffs; groups with few documents use the merged
-sketch of their language, and small languages that of all documents.
+so sketches merge by adding counts (sources to a language, languages to all) and any
+quantile comes from cumulated counts.  Each level's fences lie beyond its outer quantiles
+(``OUTER`` and ``100 - OUTER`` percent) by the distance of that quantile to the median,
+one bin at least.  Fences are pooled: a language's are shrunk towards those of all
+documents, a source's towards its language's, with ``PRIOR`` documents' weight, so small
+groups follow their language and large ones themselves.  Comparisons are exact integers.
 """
 
 from __future__ import annotations
@@ -20,13 +23,10 @@ from linkloom.scratch import written
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 WINDOW = 5
-#: Documents that a group needs for fences of its own.
-MIN_DOCUMENTS = 100
-#: A fence lies so many spreads beyond the quartile; a spread is the distance of quartile
-#: and median, at least the second number.  Of symbols most groups have no spread; what
-#: has more than two in a hundred letters is tables and code then, never good by `labels`.
-FENCE = 4
-MEASURES = {"word_length": 75, "symbols": 5, "duplicate_lines": 150, "capitals": 50}
+#: Outer quantiles, in percent, and the weight in documents of the level above.
+OUTER = 1
+PRIOR = 50
+MEASURES = ("word_length", "symbols", "duplicate_lines", "capitals")
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -140,30 +140,38 @@ def sketch(measured: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", "measure", "value").agg(F.count("*").alias("n"))
 
 
+def _width(value: str) -> Column:
+    """The width of the bin that starts at column ``value``."""
+    return F.expr(f"shiftleft(CAST(1 AS BIGINT), greatest(length(bin({value})) - 5, 0))")
+
+
 def _fences(bins: DataFrame, keys: list[str]) -> DataFrame:
-    """``documents`` and the fences of each measure, for each group of ``keys``."""
+    """``documents`` and the fences ``<measure>_low``, ``<measure>_high`` of each group of ``keys``."""
     merged = bins.groupBy(*keys, "measure", "value").agg(F.sum("n").alias("n"))
     every = Window.partitionBy(*keys, "measure")
     up_to = every.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = merged.select(
         *keys, "measure", "value", F.sum("n").over(up_to).alias("below"), F.sum("n").over(every).alias("total")
     )
-    quartiles = placed.groupBy(*keys, "measure").agg(
+    levels = {"lo": OUTER, "mid": 50, "hi": 100 - OUTER}
+    quantiles = placed.groupBy(*keys, "measure").agg(
         F.max("total").alias("documents"),
-        *(F.min(F.when(4 * F.col("below") >= q * F.col("total"), F.col("value"))).alias(f"q{q}") for q in (1, 2, 3)),
+        *(F.min(F.when(100 * F.col("below") >= p * F.col("total"), F.col("value"))).alias(q) for q, p in levels.items()),
     )
+    fenced = quantiles.select(
+        *keys, "measure", "documents",
+        (F.col("hi") + F.greatest(F.col("hi") - F.col("mid"), _width("hi"))).alias("high"),
+        (F.col("lo") - F.greatest(F.col("mid") - F.col("lo"), _width("lo"))).alias("low"),
+    )
     rows = []
-    for name, least in MEASURES.items():
+    for name in MEASURES:
         own = F.col("measure") == name
-        up = F.greatest(F.col("q3") - F.col("q2"), F.lit(least))
-        down = F.greatest(F.col("q2") - F.col("q1"), F.lit(least))
-        rows.append(F.max(F.when(own, F.col("q3") + FENCE * up)).alias(f"{name}_high"))
-        rows.append(F.max(F.when(own, F.col("q1") - FENCE * down)).alias(f"{name}_low"))
-    return quartiles.groupBy(*keys).agg(F.max("documents").alias("documents"), *rows)
+        rows += [F.max(F.when(own, F.col(end))).alias(f"{name}_{end}") for end in ("low", "high")]
+    return fenced.groupBy(*keys).agg(F.max("documents").alias("documents"), *rows)
 
 
 def thresholds(bins: DataFrame) -> DataFrame:
-    """``lang, source`` and a struct ``fences`` for each group that has documents."""
+    """``lang, source``, the documents ``n_own``, ``n_lang`` and fences ``own``, ``by_lang``, ``overall``."""
     names = [f"{name}_{end}" for name in MEASURES for end in ("low", "high")]
 
     def packed(keys: list[str], as_name: str) -> DataFrame:
@@ -173,12 +181,23 @@ def thresholds(bins: DataFrame) -> DataFrame:
     by_lang = packed(["lang"], "by_lang").select(F.col("lang").alias("l"), F.col("documents").alias("n_lang"), "by_lang")
     overall = packed([], "overall").select(F.lit(1).alias("one"), "overall")
     found = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l"))).withColumn("one", F.lit(1)).join(overall, "one")
-    fences = (
-        F.when(F.col("n_own") >= MIN_DOCUMENTS, F.col("own"))
-        .when(F.col("n_lang") >= MIN_DOCUMENTS, F.col("by_lang"))
-        .otherwise(F.col("overall"))
-    )
-    return found.select("lang", "source", fences.alias("fences"))
+    return found.select("lang", "source", "n_own", "n_lang", "own", "by_lang", "overall")
+
+
+def _inside(value: Column, end: str, name: str) -> Column:
+    """Whether ``value`` is within the pooled fence, compared as whole numbers.
+
+    Language: ``(n_lang * F_lang + PRIOR * F_all) / (n_lang + PRIOR)``; source:
+    ``(n_own * F_own + PRIOR * language) / (n_own + PRIOR)``.
+    """
+    big = lambda c: c.cast("decimal(38,0)")
+    field = f"{name}_{end}"
+    n_own, n_lang = big(F.col("_t_.n_own")), big(F.col("_t_.n_lang"))
+    lang_top = n_lang * big(F.col("_t_.by_lang")[field]) + PRIOR * big(F.col("_t_.overall")[field])
+    lang_bottom = n_lang + PRIOR
+    left = big(value) * (n_own + PRIOR) * lang_bottom
+    right = n_own * big(F.col("_t_.own")[field]) * lang_bottom + PRIOR * lang_top
+    return left <= right if end == "high" else left >= right
 
 
 def judge(measured: DataFrame) -> DataFrame:
@@ -188,14 +207,13 @@ def judge(measured: DataFrame) -> DataFrame:
     source like any other; an empty table gives no row.
     """
     limits = written(thresholds(sketch(measured)), "quality-thresholds")
-    limits = limits.select(F.col("lang").alias("_lang_"), F.col("source").alias("_source_"), F.col("fences").alias("_fences_"))
+    limits = limits.select(F.col("lang").alias("_lang_"), F.col("source").alias("_source_"), F.struct(*limits.columns[2:]).alias("_t_"))
     same = F.col("lang").eqNullSafe(F.col("_lang_")) & F.col("source").eqNullSafe(F.col("_source_"))
     inside = F.lit(True)
     for name, value in measures().items():
-        low, high = F.col("_fences_")[f"{name}_low"], F.col("_fences_")[f"{name}_high"]
-        inside &= value.between(low, high)
+        inside &= _inside(value, "low", name) & _inside(value, "high", name)
     kept = ~counted(measured)["base_failed"] & F.coalesce(inside, F.lit(True))
-    return measured.join(limits, same, "left").withColumn("_kept_", kept).drop("_lang_", "_source_", "_fences_")
+    return measured.join(limits, same, "left").withColumn("_kept_", kept).drop("_lang_", "_source_", "_t_")
 
 
 def quality_verdicts(documents: DataFrame) -> DataFrame:

@@ -51,13 +51,28 @@ def test_fences_follow_the_group(spark):
 
 
 def test_few_symbols_where_others_have_none(spark):
-    """Some 5% of symbols are out of place among texts without any, a single one is not."""
+    """Some 5% of symbols are out of place among texts without any; what more than the outer
+    percent of a group has is not."""
     plain = " ".join(f"word{j} other{j * 7}" for j in range(20))
-    rows = [(i, plain, "en", "prose") for i in range(150)] + [(500, plain + " |" * 13, "en", "prose"), (501, plain + " #", "en", "prose")]
+    marked = " ".join(f"#{j}" for j in range(13))
+    rows = [(i, plain, "en", "prose") for i in range(150)] + [(500, f"{plain} {marked}", "en", "prose")]
+    rows += [(501, plain + " #", "en", "prose"), (502, plain + " &", "en", "prose")]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert [r.doc_id for r in quality.quality_verdicts(table).where("NOT kept").collect()] == [500]
 
 
+def test_fences_differ_between_groups(spark):
+    """Fences come from each group's own quantiles: the same text is in place in one source only."""
+    plain = " ".join(f"word{j} other{j * 7}" for j in range(20))
+    marked = " ".join(f"&{j}" for j in range(6))
+    rows = [(i, plain, "en", "prose") for i in range(300)] + [(1000 + i, f"{plain} {marked}", "en", "shop") for i in range(300)]
+    rows += [(5000, f"{plain} {marked}", "en", "prose"), (5001, f"{plain} {marked}", "en", "shop")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in quality.quality_verdicts(table).where("NOT kept").collect()] == [5000]
+    fences = quality.thresholds(quality.sketch(quality.measure(table))).collect()
+    assert len({r.own.symbols_high for r in fences}) == 2
+
+
 def test_small_groups_use_their_language(spark):
     plain = " ".join(f"word{j} other{j * 7}" for j in range(20))
     rows = [(i, plain, "en", f"s{i}") for i in range(150)] + [(999, plain.replace(" ", " $$$$ "), "en", "s999")]
