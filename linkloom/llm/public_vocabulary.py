@@ -28,7 +28,8 @@ class _Library:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        #: Special tokens in a text get their ids, as by the library's default.
+        self.specials = tuple(t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values() if t.special)
         kept = self._tokenizer.normalizer is None
         self._lengths = None
         if kept:  # each character of a byte-level token stands for one byte

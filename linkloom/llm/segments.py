@@ -8,6 +8,7 @@ that each different segment is encoded once and then found by hash.
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,8 +72,25 @@ def released(rows: Callable, *caches) -> Callable:
     return run
 
 
-def segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All segments of all texts, and how many each text has."""
+def _special_places(data: np.ndarray, offsets: np.ndarray, specials: tuple[bytes, ...]) -> list[tuple[int, int]]:
+    """Where the ``specials`` stand in the texts: leftmost, longest first, never across two texts."""
+    if not specials or not len(data):
+        return []
+    pattern = re.compile(b"|".join(re.escape(x) for x in sorted(specials, key=len, reverse=True)))
+    found = []
+    for match in pattern.finditer(data.tobytes()):
+        start, end = match.span()
+        if np.searchsorted(offsets, start, "right") == np.searchsorted(offsets, end - 1, "right"):
+            found.append((start, end))
+    return found
+
+
+def segments(texts: pa.Array, specials: tuple[bytes, ...] = ()) -> tuple[pa.Array, np.ndarray]:
+    """All segments of all texts, and how many each text has.
+
+    Each occurrence of one of ``specials`` in a text is a segment of its own, as the
+    tokenizers library splits texts at its special tokens before anything else.
+    """
     data, offsets = text_bytes(texts)
     cut = np.zeros(len(data), bool)
     if len(data) > 1:
@@ -80,6 +98,11 @@ def segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         solid = _VISIBLE[last]
         solid[1:] |= _CONTINUES[last[1:]] & _LEADS_TWO[last[:-1]]
         cut[1:] = (_BLANK[now] & solid) | (_PUNCTUATION[now] & _LETTER[last])
+    for start, end in _special_places(data, offsets, specials):
+        cut[start + 1 : end] = False
+        cut[start] = True
+        if end < len(data):
+            cut[end] = True
     cut[offsets[:-1][offsets[:-1] < len(data)]] = True
     starts = np.flatnonzero(cut)
     ends = np.append(starts, len(data)).astype(np.int64)
@@ -108,6 +131,7 @@ class SegmentIds:
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self._encode = encode
+        self._specials = tuple(getattr(encode, "specials", ()))
         self._keep([], np.empty(0, np.int64))
 
     def _keep(self, segments: list[bytes], places: np.ndarray) -> None:
@@ -135,7 +159,7 @@ class SegmentIds:
         """
         if len(self._place) > CACHED_SEGMENTS:
             self._shrink()
-        found, per_text = segments(texts)
+        found, per_text = segments(texts, self._specials)
         coded = found.dictionary_encode()
         different = coded.dictionary.to_pylist()
         get = self._place.get

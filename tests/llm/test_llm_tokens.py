@@ -23,7 +23,6 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -39,7 +38,8 @@ def random_texts(n, seed=5):
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_segments_give_the_ids_of_whole_texts(path):
-    texts = random_texts(3000) + ["", None, "one", " Theastou, don't!\n\nYes. "]
+    specials = ["end <|endoftext|> here", "<|endoftext|>x<|startoftext|>  <|endoftext|>", "a <|endof", "text|> b", "<|ENDOFTEXT|> é<|endoftext|>é"]
+    texts = random_texts(3000) + ["", None, "one", " Theastou, don't!\n\nYes. "] + specials
     flat, counts = token_ids(path).ids(pa.array(texts), 0)
     found = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
     encode = library(path)
