@@ -29,7 +29,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 GRAM = 5
 SPAN = WINDOW - GRAM + 1
-#: Item fingerprints broadcast at most; beyond, they are joined by a salted shuffle.
+#: Item fingerprints (or alignments) broadcast at most; beyond, they are joined by a (salted) shuffle.
 SENT_FINGERPRINTS = 1_000_000
 #: Parts of a hash value on the salted path, so that a frequent phrase takes several tasks.
 SALT = 16
@@ -41,22 +41,29 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(WORD), 0)
 
 
-def _grams(w: str) -> Column:
-    """``(h, p)`` structs: the hash of every run of ``GRAM`` words of array column ``w``, and its start."""
-    run = f"transform(sequence(0, size({w}) - {GRAM}), i -> named_struct('h', xxhash64(slice({w}, i + 1, {GRAM})), 'p', i))"
-    return F.expr(f"CASE WHEN size({w}) >= {WINDOW} THEN {run} ELSE array() END")
+def _grams(wh: str) -> Column:
+    """``(h, p)`` structs: for every run of ``GRAM`` words the hash of their hashes ``wh``, and its start."""
+    words = ", ".join(f"{wh}[i + {k}]" for k in range(GRAM))
+    run = f"transform(sequence(0, size({wh}) - {GRAM}), i -> named_struct('h', xxhash64({words}), 'p', i))"
+    return F.expr(f"CASE WHEN size({wh}) >= {WINDOW} THEN {run} ELSE array() END")
 
 
-def _winnowed(g: str) -> Column:
-    """Of every ``SPAN`` consecutive hashes of ``g`` the least (the leftmost of equals), once."""
-    picked = f"array_distinct(transform(sequence(1, size({g}) - {SPAN} + 1), i -> array_min(slice({g}, i, {SPAN}))))"
-    return F.expr(f"CASE WHEN size({g}) >= {SPAN} THEN {picked} ELSE array() END")
+def _minima(g: str) -> Column:
+    """For every ``SPAN`` consecutive hashes of ``g`` the least (the leftmost of equals)."""
+    each = ", ".join(f"{g}[i + {k}]" for k in range(SPAN))
+    return F.expr(f"CASE WHEN size({g}) >= {SPAN} THEN transform(sequence(0, size({g}) - {SPAN}), i -> least({each})) ELSE array() END")
+
+
+def _once(m: str) -> Column:
+    """A place is the least of consecutive windows only, so dropping repeats of the one before leaves each once."""
+    return F.filter(m, lambda x, i: (i == 0) | (x != F.get(F.col(m), i - 1)))
 
 
 def _fingerprints(table: DataFrame, key: str, w: str) -> DataFrame:
     """``key, h, p``: the winnowed fingerprints of each row's words."""
-    grams = table.select(key, _grams(w).alias("g"))
-    return grams.select(key, F.explode(_winnowed("g")).alias("f")).select(key, "f.h", "f.p")
+    hashed = table.select(key, F.transform(w, lambda x: F.xxhash64(x)).alias("wh"))
+    minima = hashed.select(key, _grams("wh").alias("g")).select(key, _minima("g").alias("m"))
+    return minima.select(key, F.explode(_once("m")).alias("f")).select(key, "f.h", "f.p")
 
 
 def _whole_grams(w: str, length: int) -> Column:
@@ -76,7 +83,12 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def _occurrences(candidates: DataFrame, doc_words: DataFrame, item_words: DataFrame) -> DataFrame:
     """``row, item_id, s, e``: each occurring window of an aligned item as a range of document words."""
-    aligned = candidates.distinct().join(doc_words, "row").join(item_words, "item_key")
+    candidates = written(candidates.distinct(), "decontamination-candidates")
+    if candidates.count() <= SENT_FINGERPRINTS:  # the documents stay in place
+        aligned = doc_words.join(F.broadcast(candidates), "row")
+    else:
+        aligned = candidates.join(doc_words, "row")
+    aligned = aligned.join(item_words, "item_key")
     lo = "greatest(0, -offset)"
     hi = "least(size(iw), size(dw) - offset)"
     mask = f"transform(sequence({lo}, {hi} - 1), j -> element_at(dw, offset + j + 1) = element_at(iw, j + 1))"
