@@ -82,28 +82,34 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _occurrences(candidates: DataFrame, doc_words: DataFrame, item_words: DataFrame) -> DataFrame:
-    """``row, item_id, s, e``: each occurring window of an aligned item as a range of document words."""
-    candidates = written(candidates.distinct(), "decontamination-candidates")
+    """``row, item_id, s, e``: each occurring window of an aligned item as a range of document words.
+
+    Right after meeting its alignments a document gives each only the words that the item
+    covers, so a document with many alignments is never copied whole.
+    """
+    sizes = item_words.select("item_key", F.size("iw").alias("m"))
+    candidates = written(candidates.distinct().join(sizes, "item_key"), "decontamination-candidates")
     if candidates.count() <= SENT_FINGERPRINTS:  # the documents stay in place
-        aligned = doc_words.join(F.broadcast(candidates), "row")
+        met = doc_words.join(F.broadcast(candidates), "row")
     else:
-        aligned = candidates.join(doc_words, "row")
-    aligned = aligned.join(item_words, "item_key")
-    lo = "greatest(0, -offset)"
-    hi = "least(size(iw), size(dw) - offset)"
-    mask = f"transform(sequence({lo}, {hi} - 1), j -> element_at(dw, offset + j + 1) = element_at(iw, j + 1))"
-    long_item = f"""filter(sequence(0, size(m) - {WINDOW}), t -> forall(slice(m, t + 1, {WINDOW}), x -> x))"""
+        met = candidates.join(doc_words, "row")
+    lo, hi = "greatest(0, -offset)", "least(m, size(dw) - offset)"
+    met = met.select(
+        "row", "item_key", "offset", "m", F.expr(lo).alias("lo"), F.expr(hi).alias("hi"),
+        F.expr(f"CASE WHEN {hi} > {lo} THEN slice(dw, offset + {lo} + 1, {hi} - {lo}) ELSE array() END").alias("ds"),
+    )
+    aligned = met.join(item_words, "item_key")
+    mask = "transform(ds, (x, j) -> x = element_at(iw, lo + j + 1))"
+    long_item = f"""CASE WHEN size(k) >= {WINDOW} THEN filter(sequence(0, size(k) - {WINDOW}), t -> forall(slice(k, t + 1, {WINDOW}), x -> x)) ELSE array() END"""
     found = aligned.select(
-        "row", "item_id", "offset",
-        F.expr(f"size(iw) >= {WINDOW}").alias("is_long"), F.expr(f"{lo}").alias("lo"),
-        F.expr(f"{hi} > {lo}").alias("some"), F.expr(f"{hi} - {lo} = size(iw)").alias("whole"),
-        F.expr(f"CASE WHEN {hi} > {lo} THEN {mask} ELSE array() END").alias("m"),
+        "row", "item_id", "offset", "lo",
+        F.expr(f"m >= {WINDOW}").alias("is_long"), F.expr("hi - lo = m AND m > 0").alias("whole"), F.expr(mask).alias("k"),
     )
     long_hits = found.where("is_long").select(
         "row", "item_id", F.explode(F.expr(long_item)).alias("t"), "offset", "lo"
     ).select("row", "item_id", F.expr("offset + lo + t").alias("s"), F.expr(f"offset + lo + t + {WINDOW}").alias("e"))
-    short_hits = found.where("NOT is_long AND some AND whole AND forall(m, x -> x)").select(
-        "row", "item_id", F.col("offset").alias("s"), F.expr("offset + size(m)").alias("e")
+    short_hits = found.where("NOT is_long AND whole AND forall(k, x -> x)").select(
+        "row", "item_id", F.col("offset").alias("s"), F.expr("offset + size(k)").alias("e")
     )
     return long_hits.unionByName(short_hits)
 
