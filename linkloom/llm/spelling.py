@@ -3,10 +3,10 @@
 Two words one edit apart (a code point inserted, deleted or replaced) have letter multisets
 of Hamming distance 1 or 2, taken as binary vectors over (letter, k-th occurrence).
 PartEnum (partition and enumerate): the dimensions fall by hash into ``PARTS`` partitions,
-each into ``SUBPARTS`` sub-partitions.  Two vectors within distance 2 agree in full on all
-but one sub-partition of some partition, so for every partition and every sub-partition
-left out, the projection on the rest is an exact signature; vectors within distance 2
-share at least one.  Words meet by an equi-join on signature and length (equal, or one
+each into ``SUBPARTS`` sub-partitions.  Two vectors within distance 2 differ in at most
+``LEFT_OUT`` sub-partitions of some partition, so for every partition and every choice of
+``LEFT_OUT`` sub-partitions left out, the projection on the rest is an exact signature;
+vectors within distance 2 share at least one.  Words meet by an equi-join on signature and length (equal, or one
 more), and the pairs so found are verified by edit distance.  A signature with more than
 ``BLOCK`` words is split into blocks by hash; every pair of blocks meets under its own
 key, so a hot signature takes many tasks and no pair is met twice.
@@ -17,7 +17,7 @@ in as many rounds as the longest chain has bits.
 
 from __future__ import annotations
 
-from itertools import count
+from itertools import combinations, count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +29,12 @@ RUN = "[A-Za-zÀ-ÿ]+"
 SHORTEST = 5
 LEAST_N = 3
 FACTOR = 2
-#: PartEnum: first-level partitions and second-level sub-partitions of each.
-PARTS, SUBPARTS = 2, 6
+#: PartEnum for Hamming distance 2: first-level partitions and sub-partitions of each.  One
+#: partition (sub-partitions left out two at a time): two halves leave signatures of half
+#: the letters, and on sf0.1 (90,172 words) 148.5 million pairs to verify instead of 19.0.
+HAMMING = 2
+PARTS, SUBPARTS = 1, 6
+LEFT_OUT = -(-(HAMMING + 1) // PARTS) - 1
 #: Words of one signature block at most, before the signature is split.
 BLOCK = 2_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,13 +72,17 @@ def _bits(word: Column) -> Column:
 
 
 def signatures(words: DataFrame) -> DataFrame:
-    """``word, length, sig``: the PartEnum signatures of each word (``PARTS * SUBPARTS`` of them)."""
+    """``word, length, sig``: the PartEnum signatures of each word, different ones once."""
     bits = words.select("word", F.length("word").alias("length"), _bits(F.col("word")).alias("bits"))
-    def kept(p: int, s: int):
-        return lambda b: (F.pmod(F.xxhash64(b), F.lit(PARTS)) == p) & (F.pmod(F.xxhash64(b, F.lit("sub")), F.lit(SUBPARTS)) != s)
+    def kept(p: int, out: tuple[int, ...]):
+        def test(b: Column) -> Column:
+            sub = F.pmod(F.xxhash64(b, F.lit("sub")), F.lit(SUBPARTS))
+            return (F.pmod(F.xxhash64(b), F.lit(PARTS)) == p) & ~sub.isin(*out) if out else F.pmod(F.xxhash64(b), F.lit(PARTS)) == p
 
-    cases = [(p, s) for p in range(PARTS) for s in range(SUBPARTS)]
-    sigs = F.array(*(F.xxhash64(F.lit(p), F.lit(s), F.array_sort(F.filter("bits", kept(p, s)))) for p, s in cases))
+        return test
+
+    cases = [(p, out) for p in range(PARTS) for out in combinations(range(SUBPARTS), LEFT_OUT)]
+    sigs = F.array(*(F.xxhash64(F.lit(p), F.lit(str(out)), F.array_sort(F.filter("bits", kept(p, out)))) for p, out in cases))
     return bits.select("word", "length", F.explode(F.array_distinct(sigs)).alias("sig"))
 
 
@@ -99,8 +107,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     a = keyed.select(F.col("word").alias("a"), F.col("tag").alias("ta"), "key")
     b = keyed.select(F.col("word").alias("b"), F.col("tag").alias("tb"), "key")
     met = a.join(b, "key").where("(ta = 0 AND tb = 0 AND a < b) OR (ta = 0 AND tb = 1)")
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    return pairs.where(F.levenshtein("a", "b", 1) == 1)
+    near = met.where((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def variants(documents: DataFrame) -> DataFrame:
