@@ -70,7 +70,7 @@ def crawl_pages(metadata: DataFrame) -> DataFrame:
 
     anchors = F.filter(page["content"]["links"], lambda link: link["type"] == _ANCHOR)
     hrefs = if_success(F.transform(anchors, lambda link: link["href"]))
-    df = with_computed_once(df, "hrefs", hrefs)
+    df = df.withColumn("hrefs", hrefs)  # a plain column, so that a query without links prunes it
     return df.select(
         "source_url",
         "base",
