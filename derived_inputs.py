@@ -6,13 +6,19 @@ write the whole table in that form below the shared scratch folder.
 
 from __future__ import annotations
 
+import gzip
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.scratch import scratch_path as scratch_path
+from linkloom.sources.warc import create_file
 
 RECORDS_PER_WARC = 40_000
 WARC_DATE = "2012-02-10T21:51:20Z"
+_RECORD_END = "\r\n\r\n"
 _TEXT = "org.apache.hadoop.io.Text"
 
 
@@ -32,7 +38,7 @@ def write_warc(
     folder: Column | None = None,
     damaged: Column | None = None,
 ) -> str:
-    """Write ``page_id``, ``url``, ``html`` as gzipped WARC files; returns their glob.
+    """Write ``page_id``, ``url``, ``html`` as gzipped WARC files; returns their glob or folder.
 
     A NULL url gives a record without a target, and a ``damaged`` record has no length.
     With ``folder`` the files lie in folders ``folder=...``.
@@ -55,11 +61,13 @@ def write_warc(
         F.lit(""),
         F.col("payload"),
     )
+    if records_per_file == 1 and folder is None:
+        return _write_each(records.select(F.concat(record, F.lit(_RECORD_END)).alias("value")), path)
     columns = [record.alias("value")] + ([] if folder is None else [folder.alias("folder")])
     writer = (
         records.select(columns)
         .write.option("compression", "gzip")
-        .option("lineSep", "\r\n\r\n")
+        .option("lineSep", _RECORD_END)
         .option("maxRecordsPerFile", records_per_file)
     )
     if folder is None:
@@ -69,6 +77,34 @@ def write_warc(
     return path + "/folder=*/*.gz"
 
 
+def _write_each(records: DataFrame, path: str) -> str:
+    """Write each ``value`` as a gzipped file of its own; returns their folder.
+
+    Tasks give the files their last names.  Spark's writer has the driver rename each one,
+    and a local disk starts a process for each, which takes longer than all else.  Names
+    follow from partition and row, so a task that runs again replaces its files.
+    """
+    context = records.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    target = files.makeQualified(folder).toString()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for value in batch.column("value"):
+                packed = gzip.compress(value.as_py().encode(), 6, mtime=0)
+                create_file(f"{target}/part-{part:05d}-{number:09d}.warc.gz", packed)
+                number += 1
+        yield pa.RecordBatch.from_pydict({"n": [number]})
+
+    records.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    return path
+
+
 def write_sequence_file(metadata: DataFrame, path: str) -> str:
     """Write ``url``, ``json`` as SequenceFiles of Text pairs; returns their glob."""
     pairs = metadata.select("url", "json").rdd.map(tuple)

@@ -143,6 +143,29 @@ def test_batches_are_bounded_by_bytes(tmp_path, monkeypatch):
     assert [b"y" * 5000] in batches
 
 
+def test_small_files_share_a_batch(tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.warc").write_bytes(record(b"x") if i % 2 else record(b"x", length=""))
+    paths = [f"file:{tmp_path}/{i}.warc" for i in range(5)]
+    (batch,) = warc._read_files(paths, 1 << 20)
+    assert batch.column("warc_file").to_pylist() == paths
+    assert [e is None for e in batch.column("read_error").to_pylist()] == [False, True] * 2 + [False]
+
+
+def test_one_record_in_each_file(spark, rows):
+    import derived_inputs as derive
+    from pyspark.sql import functions as F
+
+    table = spark.createDataFrame([(i, f"http://h/{i}", "é" * i) for i in range(40)], "page_id long, url string, html string")
+    path = derive.write_warc(table, derive.scratch_path(spark, "each"), 1, damaged=F.col("page_id") % 4 == 1)
+    assert "*" not in path  # a glob would have the driver look at each file by itself
+    records = read_warc(spark, path)
+    assert records.select("warc_file").distinct().count() == 40
+    texts = rows(warc_body(records), "body")
+    assert texts == sorted([("\r\n" + "é" * i,) for i in range(40) if i % 4 != 1], key=repr)
+    assert rows(page_outcomes(pages_from_warc(records))) == [("ERROR_RECORD_READ", 10), ("PAGES", 30)]
+
+
 def test_a_record_too_large_for_a_row_is_passed_over(spark, rows, tmp_path):
     path = tmp_path / "large.warc"
     size = (1 << 31) + 5
