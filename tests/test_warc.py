@@ -143,6 +143,13 @@ def test_batches_are_bounded_by_bytes(tmp_path, monkeypatch):
     assert [b"y" * 5000] in batches
 
 
+def test_batches_stay_small(tmp_path):
+    path = tmp_path / "a.warc"
+    path.write_bytes(record(b"x" * 3000) * 12_000)
+    batches = [batch.nbytes for batch in warc._read_file(f"file:{path}", 1 << 20)]
+    assert max(batches) < 4 << 20
+
+
 def test_small_files_share_a_batch(tmp_path):
     for i in range(5):
         (tmp_path / f"{i}.warc").write_bytes(record(b"x") if i % 2 else record(b"x", length=""))
