@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -42,6 +42,7 @@ COMPONENTS = BANDS * ROWS
 _BLOCK, _BLOCK_BYTES = 256, 2 << 20
 #: Ids and keys of so many texts, some 4 MB, may go to every executor; more are shuffled.
 _SENT_ROWS = 100_000
+_KEYS = ("key", "leader", "class")
 _NO_TEXT = b""
 #: Bytes of text hashed at once by a worker (but one text at least).
 _SLICE = 1 << 20
@@ -164,7 +165,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 
 def _sent_if_small(ids: DataFrame) -> DataFrame:
     """Files of numbers and keys, to be broadcast if they have few rows; texts then stay in place."""
-    fixed = all(f.dataType.simpleString() in ("int", "bigint") or f.name == "key" for f in ids.schema.fields)
+    fixed = all(f.dataType.simpleString() in ("int", "bigint", "boolean") or f.name in _KEYS for f in ids.schema.fields)
     return F.broadcast(ids) if fixed and ids.count() <= _SENT_ROWS else ids
 
 
@@ -274,7 +275,7 @@ def _links_of_outsiders(groups: DataFrame, links: DataFrame, sets: DataFrame) ->
     marked = written(marked, "marked")
     open_groups = marked.where("outside").select("leader").distinct()
     marked = written(marked.join(open_groups, "leader", "left_semi").select("leader", "key", "class", "outside"), "open")
-    full = marked.join(sets, "key")
+    full = _sent_if_small(marked).join(sets, "key")
     every = _blocks(full)
     some = _blocks(full.where("outside"))
     names = ["keys", "classes", "sets"]
@@ -319,9 +320,10 @@ def _classes(documents: DataFrame, prints: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("buckets").alias("buckets")
     )
     texts = written(texts, "texts")
-    placed = texts.select("key", F.explode("buckets").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(placed.join(shared, "bucket"), "members")
+    placed = texts.select(F.explode("buckets").alias("bucket"), "key")
+    # Most buckets hold one text, so they are shuffled once, with the key, at any size of the table.
+    counted = placed.withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
+    members = written(counted.where("n > 1"), "members")
     company = members.groupBy("key").agg(F.sum("n").alias("company"))
     ranked = written(members.join(company, "key").select("bucket", F.struct("company", "key").alias("text")), "ranked")
     leaders = ranked.groupBy("bucket").agg(F.max("text").alias("leader"))

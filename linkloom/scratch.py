@@ -31,9 +31,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_folders[context.applicationId]}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark removes the shuffle files of a query when it ends, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(table: DataFrame, name: str) -> DataFrame:
-    """The table from Parquet files: its lineage is cut, and no executor holds the only copy."""
+    """The table from Parquet files: its lineage is cut, and no executor holds the only copy.
+
+    The shuffle files that made it are gone as soon as it is written.
+    """
     spark = table.sparkSession
     path = scratch_path(spark, name)
-    table.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        table.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(table.schema).parquet(path)

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -237,3 +238,22 @@ def test_index_covers_all_rows_and_prunes(spark):
     best = sorted((index.products(query, index.matrix([v]))[0, 0] for _, v in whole(rows)), reverse=True)[4]
     assert (index.bounds(query) >= best).mean() < 0.5
     assert search(spark, rows) == brute_top(whole(rows), 5)
+
+
+def test_no_shuffle_file_outlives_its_step(spark):
+    from linkloom.scratch import _CLEANUP, written
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getPath() for i in range(files.size())}
+
+    before, setting = shuffled(), spark.conf.get(_CLEANUP)
+    found = written(spark.range(1000).repartition(3, "id").groupBy("id").count(), "step")
+    for _ in range(50):  # files go in the background
+        left = [f for f in shuffled() - before if "shuffle_" in f]
+        if left:
+            time.sleep(0.2)
+    assert not left
+    assert found.count() == 1000 and spark.conf.get(_CLEANUP) == setting
