@@ -7,7 +7,7 @@ each into ``SUBPARTS`` sub-partitions.  Two vectors within distance 2 differ in
 ``LEFT_OUT`` sub-partitions of some partition, so for every partition and every choice of
 ``LEFT_OUT`` sub-partitions left out, the projection on the rest is an exact signature;
 vectors within distance 2 share at least one.  Words meet by an equi-join on signature and length (equal, or one
-more), and the pairs so found are verified by edit distance.  A signature with more than
+more, which is distance 1 and needs fewer signatures), and the pairs so found are verified by edit distance.  A signature with more than
 ``BLOCK`` words is split into blocks by hash; every pair of blocks meets under its own
 key, so a hot signature takes many tasks and no pair is met twice.
 
@@ -17,11 +17,12 @@ in as many rounds as the longest chain has bits.
 
 from __future__ import annotations
 
-from itertools import combinations, count
+from itertools import combinations, count, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.functions.columns import with_computed_once
 from linkloom.scratch import written
 
 # Fixed values of the contract.
@@ -37,6 +38,8 @@ PARTS, SUBPARTS = 1, 6
 LEFT_OUT = -(-(HAMMING + 1) // PARTS) - 1
 #: Words of one signature block at most, before the signature is split.
 BLOCK = 2_000
+#: The bits of the two halves.
+_START, _END = -(1 << 32), (1 << 32) - 1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -71,43 +74,94 @@ def _bits(word: Column) -> Column:
     )
 
 
-def signatures(words: DataFrame) -> DataFrame:
-    """``word, length, sig``: the PartEnum signatures of each word, different ones once."""
-    bits = words.select("word", F.length("word").alias("length"), _bits(F.col("word")).alias("bits"))
-    def kept(p: int, out: tuple[int, ...]):
-        def test(b: Column) -> Column:
-            sub = F.pmod(F.xxhash64(b, F.lit("sub")), F.lit(SUBPARTS))
-            return (F.pmod(F.xxhash64(b), F.lit(PARTS)) == p) & ~sub.isin(*out) if out else F.pmod(F.xxhash64(b), F.lit(PARTS)) == p
+def _cases() -> list[tuple[int, tuple[int, ...]]]:
+    return [(p, out) for p in range(PARTS) for out in combinations(range(SUBPARTS), LEFT_OUT)]
 
-        return test
 
-    cases = [(p, out) for p in range(PARTS) for out in combinations(range(SUBPARTS), LEFT_OUT)]
-    sigs = F.array(*(F.xxhash64(F.lit(p), F.lit(str(out)), F.array_sort(F.filter("bits", kept(p, out)))) for p, out in cases))
-    return bits.select("word", "length", F.explode(F.array_distinct(sigs)).alias("sig"))
+def _one_apart() -> list[int]:
+    """Numbers of cases of which any two vectors at distance 1 share one."""
+    left, found = set(product(range(PARTS), range(SUBPARTS))), []
+    shared = [{d for d in left if d[0] != p or d[1] in out} for p, out in _cases()]
+    while left:
+        best = max(range(len(shared)), key=lambda i: len(left & shared[i]))
+        found.append(best)
+        left = left - shared[best]
+    return found
+
+
+def projections(words: DataFrame) -> DataFrame:
+    """``word, length, subs``: a hash of the word's dimensions in each sub-partition.
+
+    The dimensions of a word differ from each other, so the exclusive or of their hashes
+    does not depend on their order.
+    """
+    part = lambda b: F.pmod(F.xxhash64(b), F.lit(PARTS))
+    sub = lambda b: F.pmod(F.xxhash64(b, F.lit("sub")), F.lit(SUBPARTS))
+    hashed = F.transform(
+        _bits(F.col("word")),
+        lambda b: F.struct((part(b) * SUBPARTS + sub(b)).cast("int").alias("at"), F.xxhash64(b, F.lit("dimension")).alias("hash")),
+    )
+    placed = with_computed_once(words.select("word", F.length("word").alias("length")), "hashed", hashed)
+
+    def folded(at: int) -> Column:
+        return F.aggregate("hashed", F.lit(0).cast("long"), lambda x, d: F.when(d["at"] == at, x.bitwiseXOR(d["hash"])).otherwise(x))
+
+    return placed.select("word", "length", F.array(*map(folded, range(PARTS * SUBPARTS))).alias("subs"))
+
+
+def signatures(made: DataFrame) -> DataFrame:
+    """``word, tag, number, sig, halves``: the PartEnum signatures of each word with its length (tag 0).
+
+    Tag 1 has them with its length less one, for words of which one letter is gone; these are
+    at distance 1, so the cases of ``_one_apart`` are enough.  ``halves`` has 32 bits of a
+    hash of the word's start and of its end, of half that length: one edit spares one of them.
+    """
+    def halves(tag: int) -> Column:
+        half = F.expr(f"(length - {tag}) div 2").cast("int")
+        start = F.xxhash64(F.substr("word", F.lit(1), half)).bitwiseAND(F.lit(_START))
+        return start.bitwiseOR(F.xxhash64(F.substr("word", half + tag + 1)).bitwiseAND(F.lit(_END)))
+
+    def sig(number: int, tag: int) -> Column:
+        p, out = _cases()[number]
+        kept = [F.col("subs")[p * SUBPARTS + i] for i in range(SUBPARTS) if i not in out]
+        value = F.xxhash64(F.lit(number), F.col("length") - tag, *kept)
+        return F.struct(F.lit(tag).alias("tag"), F.lit(number).alias("number"), value.alias("sig"))
+
+    found = [sig(i, 0) for i in range(len(_cases()))] + [sig(i, 1) for i in _one_apart()]
+    rows = made.select("word", halves(0).alias("h0"), halves(1).alias("h1"), F.inline(F.array(*found)))
+    return rows.select("word", "tag", "number", "sig", F.when(F.col("tag") == 0, F.col("h0")).otherwise(F.col("h1")).alias("halves"))
 
 
 def _keyed(sigs: DataFrame) -> DataFrame:
-    """Each word under ``key``s: for every signature, its length (tag 0) and its length less one (tag 1),
-    and for a signature of many words, every pair of blocks that holds its own block."""
-    keyed = sigs.select("word", "sig", F.posexplode(F.array(F.col("length"), F.col("length") - 1)).alias("tag", "length"))
-    sizes = keyed.groupBy("sig", "length").agg(F.count("*").alias("size"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    keyed = keyed.join(sizes, ["sig", "length"]).withColumn("blocks", blocks)
+    """``word, tag, number, halves, key``: a signature of many words gives a key for every pair of blocks that holds
+    the word's own; such signatures are few, at most one in ``BLOCK`` rows."""
+    hot = sigs.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    hot = written(hot, "spelling-hot")
+    blocks = F.coalesce("blocks", F.lit(1))
+    keyed = sigs.join(F.broadcast(hot), "sig", "left").select("word", "tag", "number", "halves", "sig", blocks.alias("blocks"))
     mine = F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    keyed = keyed.select("word", "sig", "length", "tag", mine.alias("mine"), other.alias("other"))
-    return keyed.select(
-        "word", "tag", F.xxhash64("sig", "length", F.least("mine", "other"), F.greatest("mine", "other")).alias("key")
-    )
+    keyed = keyed.select("word", "tag", "number", "halves", "sig", "blocks", mine.alias("mine"), other.alias("other"))
+    split = F.xxhash64("sig", F.least("mine", "other"), F.greatest("mine", "other"))
+    key = F.when(F.col("blocks") == 1, F.col("sig")).otherwise(split)
+    return keyed.select("word", "tag", "number", "halves", key.alias("key"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """``a, b`` (a < b): all pairs of the words that are one edit apart, each once."""
-    keyed = _keyed(signatures(words))
-    a = keyed.select(F.col("word").alias("a"), F.col("tag").alias("ta"), "key")
-    b = keyed.select(F.col("word").alias("b"), F.col("tag").alias("tb"), "key")
-    met = a.join(b, "key").where("(ta = 0 AND tb = 0 AND a < b) OR (ta = 0 AND tb = 1)")
-    near = met.where((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    keyed = _keyed(signatures(written(projections(words), "spelling-projections")))
+
+    def side(name: str, which: Column) -> DataFrame:
+        return keyed.where(which).select(F.col("word").alias(name), F.col("halves").alias(f"{name}_halves"), "key")
+
+    own = F.col("tag") == 0
+    differ = F.col("a_halves").bitwiseXOR(F.col("b_halves"))
+    spared = (differ.bitwiseAND(F.lit(_START)) == 0) | (differ.bitwiseAND(F.lit(_END)) == 0)
+    replaced = side("a", own).join(side("b", own), "key").where(spared & (F.col("a") < F.col("b")))
+    shorter = side("a", own & F.col("number").isin(_one_apart()))
+    gone = shorter.join(side("b", F.col("tag") == 1), "key").where(spared & (F.col("a") != F.col("b")))
+    met = replaced.select("a", "b").unionByName(gone.select("a", "b"))
+    near = met.where(F.levenshtein("a", "b", 1) == 1)
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

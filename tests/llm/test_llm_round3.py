@@ -68,6 +68,16 @@ def test_variants_on_odd_tables(spark, odd_documents, no_documents):
     assert got == brute_variants([(r.doc_id, r.text) for r in odd_documents.collect()])
 
 
+def test_words_of_two_lengths_meet_under_few_signatures(spark):
+    from linkloom.llm.spelling import projections, signatures
+
+    words = spark.createDataFrame([("planet",), ("planets",)], "word string")
+    found = signatures(projections(words))
+    assert found.groupBy("tag").count().orderBy("tag").collect() == [(0, 30), (1, 6)]
+    a, b = (found.where(w).select("sig") for w in ("word = 'planet' AND tag = 0", "word = 'planets' AND tag = 1"))
+    assert a.intersect(b).count() >= 1
+
+
 def test_hot_signature_is_split(spark, monkeypatch):
     import linkloom.llm.spelling as spelling
 
